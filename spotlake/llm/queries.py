@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotlake.llm.boundary_pieces import natural_boundaries, split_pieces
+from spotlake.llm.byte_bpe import encode_corpus
 from spotlake.llm.quantile_digest import certify, estimate_quantiles, merge_digests, partial_digests
 from spotlake.session import table
 
@@ -58,3 +59,8 @@ def p5_day_digests(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p5_run_digests(spark: SparkSession, d: str) -> DataFrame:
     return merge_digests(partial_digests(_measured(spark, d), ["run_id", "barcode_id"], MEASURES), ["run_id", "barcode_id", "field"])
+
+
+@query
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode_corpus(table(spark, d, "documents"), "doc_id", "text", "byte_bpe_50k")
