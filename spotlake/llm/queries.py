@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spotlake.llm.boundary_pieces import natural_boundaries, split_pieces
 from spotlake.llm.byte_bpe import encode_corpus
+from spotlake.llm.leakage import leaked_items
 from spotlake.llm.quantile_digest import certify, estimate_quantiles, merge_digests, partial_digests
 from spotlake.session import table
 
@@ -64,3 +65,9 @@ def p5_run_digests(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text", "byte_bpe_50k")
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    leaks = leaked_items(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
+    return leaks.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
