@@ -11,6 +11,7 @@ from spotlake.llm.boundary_pieces import natural_boundaries, split_pieces
 from spotlake.llm.byte_bpe import encode_corpus
 from spotlake.llm.leakage import leaked_items
 from spotlake.llm.quantile_digest import certify, estimate_quantiles, merge_digests, partial_digests
+from spotlake.llm.stuffing import SHARE, stuffed_share
 from spotlake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +72,8 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     leaks = leaked_items(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
     return leaks.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return stuffed_share(table(spark, d, "documents"), "doc_id", "text", "lang").filter(F.col("stuffed_share") > SHARE).select(F.col("id").alias("doc_id"))
