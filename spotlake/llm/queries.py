@@ -11,6 +11,7 @@ from spotlake.llm.boundary_pieces import natural_boundaries, split_pieces
 from spotlake.llm.byte_bpe import encode_corpus
 from spotlake.llm.leakage import leaked_items
 from spotlake.llm.quantile_digest import certify, estimate_quantiles, merge_digests, partial_digests
+from spotlake.llm.shared_spans import shared_spans
 from spotlake.llm.stuffing import SHARE, stuffed_share
 from spotlake.session import table
 
@@ -77,3 +78,21 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return stuffed_share(table(spark, d, "documents"), "doc_id", "text", "lang").filter(F.col("stuffed_share") > SHARE).select(F.col("id").alias("doc_id"))
+
+
+def _spans(spark: SparkSession, d: str) -> DataFrame:
+    return shared_spans(table(spark, d, "probe_dict"), "probe_id", "target_sequence").withColumnRenamed("id", "probe_id")
+
+
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _spans(spark, d)
+
+
+@query
+def p6_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share of each probe that is found elsewhere; 0 for probes that share nothing, null or empty ones included."""
+    found = _spans(spark, d).groupBy("probe_id").agg(F.sum("span_len").alias("shared"))
+    probes = table(spark, d, "probe_dict").groupBy("probe_id").agg(F.max(F.length("target_sequence")).alias("letters"))
+    share = F.coalesce(F.try_divide(F.col("shared"), F.col("letters")), F.lit(0.0))
+    return probes.join(found, "probe_id", "left").select("probe_id", F.coalesce("letters", F.lit(0)).alias("letters"), F.coalesce("shared", F.lit(0)).alias("shared"), F.round(share, 6).alias("share"))
