@@ -1,0 +1,186 @@
+"""Image planes as rows: pixels counted by Spark, kernels run on one plane at a time inside tasks."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PLANE = "data binary"
+
+
+def rasterize(points: DataFrame, keys: list[str], x: str, y: str, size: float, bins: int) -> DataFrame:
+    """keys and data: a plane of bins x bins counts (little-endian 32-bit floats, rows are y) of the points inside [0, size).
+
+    Points are counted by pixel with map-side combining, so a plane's group has at most bins^2 rows however many points it has.
+    """
+    at = lambda c: F.floor(F.col(c) * bins / size).cast("int")
+    inside = points.filter((F.col(x) >= 0) & (F.col(x) < size) & (F.col(y) >= 0) & (F.col(y) < size))
+    pixels = inside.groupBy(*keys, at(y).alias("_y"), at(x).alias("_x")).agg(F.count(F.lit(1)).cast("float").alias("_n"))
+    planes = pixels.groupBy(*keys).agg(F.collect_list(F.struct((F.col("_y") * bins + F.col("_x")).alias("i"), F.col("_n").alias("n"))).alias("p"))
+
+    def fill(p: pd.Series) -> pd.Series:
+        def one(items: list) -> bytes:
+            a = np.zeros(bins * bins, "<f4")
+            a[[v["i"] for v in items]] = [v["n"] for v in items]
+            return a.tobytes()
+
+        return p.map(one)
+
+    return planes.select(*keys, F.pandas_udf(fill, "binary")("p").alias("data"))
+
+
+def plane(data: bytes) -> np.ndarray:
+    """A square plane from its bytes."""
+    a = np.frombuffer(data, "<f4")
+    n = int(round(len(a) ** 0.5))
+    return a.reshape(n, n)
+
+
+def map_planes(df: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], column: str = "data") -> DataFrame:
+    """Every plane through a kernel of the same shape."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: None if b is None else np.ascontiguousarray(kernel(plane(b)), "<f4").tobytes())
+
+    return df.withColumn(column, F.pandas_udf(run, "binary")(column))
+
+
+def gaussian(sigma: float) -> np.ndarray:
+    """A normalized kernel of 2 ceil(2 sigma) + 1 taps."""
+    r = int(np.ceil(2 * sigma))
+    g = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
+    return g / g.sum()
+
+
+def blur(a: np.ndarray, sigma: float) -> np.ndarray:
+    """Gaussian blur with the border replicated."""
+    g = gaussian(sigma)
+    r = len(g) // 2
+    for axis in (0, 1):
+        p = np.pad(a, [(r, r) if k == axis else (0, 0) for k in (0, 1)], mode="edge")
+        a = sum(w * np.take(p, range(i, i + a.shape[axis]), axis) for i, w in enumerate(g))
+    return a
+
+
+def high_pass(a: np.ndarray, sigma: float) -> np.ndarray:
+    """The plane less its blur, nothing under zero."""
+    return np.maximum(a - blur(a, sigma), 0)
+
+
+def clip_high(a: np.ndarray, z: float) -> np.ndarray:
+    """Intensities up to mean + z deviations."""
+    return np.clip(a, 0, a.mean() + z * a.std())
+
+
+def richardson_lucy(a: np.ndarray, sigma: float, rounds: int = 10) -> np.ndarray:
+    """Deconvolution by a Gaussian spread; the blur is symmetric, so it projects back as well."""
+    out = np.full_like(a, max(float(a.mean()), 1e-6), dtype=float)
+    for _ in range(rounds):
+        out = out * blur(a / np.maximum(blur(out, sigma), 1e-9), sigma)
+    return out
+
+
+def shift_between(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """The whole-pixel shift (y, x) that moves *b* onto *a*, by phase correlation."""
+    f = np.fft.fft2(a) * np.conj(np.fft.fft2(b))
+    c = np.abs(np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)))
+    y, x = np.unravel_index(int(c.argmax()), c.shape)
+    n = a.shape[0]
+    return int(y - n if y > n // 2 else y), int(x - n if x > n // 2 else x)
+
+
+def register(df: DataFrame, key: str, index: str, reference: object) -> DataFrame:
+    """key, index, dy, dx: the shift of every plane to the reference plane of its key; keys without it are left out."""
+    ref = df.filter(F.col(index) == reference).select(key, F.col("data").alias("_ref"))
+
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shift_between(plane(x), plane(y)) for x, y in zip(a, b)], columns=["dy", "dx"])
+
+    return df.join(ref, key).select(key, index, F.pandas_udf(run, "struct<dy:int,dx:int>")("_ref", "data").alias("s")).select(key, index, "s.*")
+
+
+def apply_shifts(df: DataFrame, shifts: DataFrame, keys: list[str]) -> DataFrame:
+    """Planes moved by their whole-pixel shifts, zeros coming in."""
+
+    def move(a: np.ndarray, dy: int, dx: int) -> np.ndarray:
+        out = np.zeros_like(a)
+        n, m = a.shape
+        out[max(dy, 0) : n + min(dy, 0), max(dx, 0) : m + min(dx, 0)] = a[max(-dy, 0) : n + min(-dy, 0), max(-dx, 0) : m + min(-dx, 0)]
+        return out
+
+    def run(d: pd.Series, y: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series([move(plane(b), int(i), int(j)).tobytes() for b, i, j in zip(d, y, x)])
+
+    return df.join(shifts, keys).withColumn("data", F.pandas_udf(run, "binary")("data", "dy", "dx")).drop("dy", "dx")
+
+
+def _maxima(a: np.ndarray, reach: int, least: float) -> list[dict]:
+    p = np.pad(a, reach, mode="constant", constant_values=-np.inf)
+    n, m = a.shape
+    top = np.max([p[i : i + n, j : j + m] for i in range(2 * reach + 1) for j in range(2 * reach + 1)], axis=0)
+    ys, xs = np.nonzero((a == top) & (a > least))
+    return [{"y": int(y), "x": int(x), "h": float(a[y, x])} for y, x in zip(ys, xs)]
+
+
+def seeds(df: DataFrame, keys: list[str], reach: int, z: float) -> DataFrame:
+    """keys, y, x, h: local maxima (not less than any pixel within *reach*) above mean + z deviations of their plane."""
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: _maxima(a := plane(b).astype(float), reach, a.mean() + z * a.std()))
+
+    return df.select(*keys, F.explode(F.pandas_udf(run, "array<struct<y:int,x:int,h:double>>")("data")).alias("s")).select(*keys, "s.*")
+
+
+def label_regions(mask: np.ndarray) -> np.ndarray:
+    """Labels from 1 of the 8-connected regions of a mask, by spreading the least number over neighbours."""
+    n, m = mask.shape
+    lab = np.where(mask, np.arange(1, n * m + 1).reshape(n, m), 0)
+    while True:
+        p = np.pad(np.where(mask, lab, n * m + 1), 1, constant_values=n * m + 1)
+        low = np.min([p[i : i + n, j : j + m] for i in range(3) for j in range(3)], axis=0)
+        new = np.where(mask, low, 0)
+        if (new == lab).all():
+            break
+        lab = new
+    return np.unique(lab, return_inverse=True)[1].reshape(n, m) + (0 if (lab == 0).any() else 1)
+
+
+def regions(df: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """keys, region, area, cy, cx (weighted), mean, peak: connected regions of pixels above *least*."""
+
+    def one(a: np.ndarray) -> list[dict]:
+        lab = label_regions(a > least)
+        out = []
+        for k in range(1, int(lab.max()) + 1):
+            ys, xs = np.nonzero(lab == k)
+            w = a[ys, xs].astype(float)
+            out.append({"region": k, "area": len(w), "cy": float((ys * w).sum() / w.sum()), "cx": float((xs * w).sum() / w.sum()), "mean": float(w.mean()), "peak": float(w.max())})
+        return out
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: one(plane(b)))
+
+    kind = "array<struct<region:int,area:int,cy:double,cx:double,mean:double,peak:double>>"
+    return df.select(*keys, F.explode(F.pandas_udf(run, kind)("data")).alias("r")).select(*keys, "r.*")
+
+
+def spot_traces(spots: DataFrame, planes: DataFrame, key: str, index: str, reach: int) -> DataFrame:
+    """Mean intensity in a square of *reach* pixels around each spot (key, y, x) in every plane of its key."""
+    grouped = spots.groupBy(key).agg(F.collect_set(F.struct("y", "x")).alias("spots"))  # bounded by the pixels of a plane
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, i, int(s["y"]), int(s["x"]), float(a[max(s["y"] - reach, 0) : s["y"] + reach + 1, max(s["x"] - reach, 0) : s["x"] + reach + 1].mean())) for k, i, d, ss in zip(b[key], b[index], b["data"], b["spots"]) for a in [plane(d)] for s in ss]
+            yield pd.DataFrame(rows, columns=[key, index, "y", "x", "value"])
+
+    types = dict(planes.dtypes)
+    return planes.join(grouped, key).select(key, index, "data", "spots").mapInPandas(run, f"{key} {types[key]}, {index} {types[index]}, y int, x int, value double")
+
+
+def tile_grid(size: int, tile: int, overlap: int) -> list[tuple[int, int, int, int]]:
+    """(y, x, y with overlap, x with overlap) of the tiles of a square plane."""
+    return [(y, x, max(0, y - overlap), max(0, x - overlap)) for y in range(0, size, tile) for x in range(0, size, tile)]

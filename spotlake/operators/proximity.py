@@ -66,6 +66,12 @@ _EDGES = """
 flatten(transform(rings, r -> transform(sequence(0, size(r) - 1), i -> named_struct(
   'ax', r[i].x, 'ay', r[i].y, 'bx', r[(i + 1) % size(r)].x, 'by', r[(i + 1) % size(r)].y))))
 """
+#: The outer ring's area less the holes', whatever the rings' directions, in square micrometres.
+_AREA = f"""
+aggregate(transform(rings, r -> abs(aggregate(sequence(0, size(r) - 1), cast(0 as bigint), (s, i) -> s
+    + (r[i].x - r[0].x) * (r[(i + 1) % size(r)].y - r[0].y) - (r[(i + 1) % size(r)].x - r[0].x) * (r[i].y - r[0].y)))
+  / (2.0D * {UNITS} * {UNITS})), struct(0 AS k, 0.0D AS a), (t, x) -> struct(t.k + 1 AS k, t.a + IF(t.k = 0, x, -x) AS a), t -> t.a)
+"""
 #: 1 inside, 0 outside, -1 on an edge or corner: the parity of crossings, in whole numbers.
 _SIDE = """
 aggregate(edges, 0, (side, e) -> CASE
@@ -80,7 +86,7 @@ aggregate(edges, 0, (side, e) -> CASE
 
 
 def region_parts(df: DataFrame, id_column: str, wkt: str, *keep: str) -> DataFrame:
-    """One row for each polygon of a well-known text: id, edges (holes included), its box, and the kept columns.
+    """One row for each polygon of a well-known text: id, edges (holes included), area, its box, and the kept columns.
 
     Case, spacing and an SRID prefix don't matter, nor does a ring's direction or whether it repeats its first point. Null, empty and
     unreadable geometries give no rows; nor do rings of fewer than three points count.
@@ -91,7 +97,7 @@ def region_parts(df: DataFrame, id_column: str, wkt: str, *keep: str) -> DataFra
         .distinct()
         .select("region_id", *keep, F.expr(f"filter({_RINGS}, r -> size(r) > 2)").alias("rings"))
         .filter("size(rings) > 0 AND NOT exists(rings, r -> exists(r, p -> p.x IS NULL OR p.y IS NULL))")
-        .select("region_id", *keep, F.expr(_EDGES).alias("edges"))
+        .select("region_id", *keep, F.expr(_EDGES).alias("edges"), F.expr(_AREA).alias("area"))
         .select(
             "*",
             *(F.expr(f"array_{f}(transform(edges, e -> e.a{c}))").alias(f"{f}_{c}") for f in ("min", "max") for c in "xy"),
@@ -119,3 +125,26 @@ def containing_regions(points: DataFrame, regions: DataFrame, plane: str, tile:
         .select("id", "region_id")
         .distinct()
     )
+
+
+def overlapping_regions(regions: DataFrame, plane: str, tile: float = 32.0) -> DataFrame:
+    """Pairs (a, b), a < b, of regions of different ids whose insides meet on a plane: edges cross, or a corner of one lies strictly inside the other.
+
+    Edges stand in every tile that their box meets, so crossings are an equi-join on plane and tile with an exact test.
+    """
+    size = round(tile * UNITS)
+    edges = regions.select("region_id", plane, F.explode("edges").alias("e")).select("region_id", plane, "e.*")
+    low = lambda c: _cell(F.least(f"a{c}", f"b{c}"), size)
+    high = lambda c: _cell(F.greatest(f"a{c}", f"b{c}"), size)
+    spread = edges.select("*", F.explode(F.sequence(low("x"), high("x"))).alias("cx")).select("*", F.explode(F.sequence(low("y"), high("y"))).alias("cy"))
+    other = spread.select(plane, "cx", "cy", F.col("region_id").alias("other"), *[F.col(c).alias(n) for c, n in (("ax", "px"), ("ay", "py"), ("bx", "qx"), ("by", "qy"))])
+
+    def side(x: str, y: str, ox: str, oy: str, tx: str, ty: str) -> Column:
+        cross = (F.col(tx) - F.col(ox)) * (F.col(y) - F.col(oy)) - (F.col(ty) - F.col(oy)) * (F.col(x) - F.col(ox))
+        return F.signum(cross.cast("double"))
+
+    apart = (side("px", "py", "ax", "ay", "bx", "by") * side("qx", "qy", "ax", "ay", "bx", "by") < 0) & (side("ax", "ay", "px", "py", "qx", "qy") * side("bx", "by", "px", "py", "qx", "qy") < 0)
+    crossing = spread.join(other, [plane, "cx", "cy"]).filter((F.col("region_id") < F.col("other")) & apart).select(F.col("region_id").alias("a"), F.col("other").alias("b"))
+    corners = edges.select(F.col("region_id").alias("id"), F.col("ax").alias("px"), F.col("ay").alias("py"), plane)
+    within = containing_regions(corners, regions, plane, tile).filter(F.col("id") != F.col("region_id"))
+    return crossing.unionByName(within.select(F.least("id", "region_id").alias("a"), F.greatest("id", "region_id").alias("b"))).distinct()
