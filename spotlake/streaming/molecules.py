@@ -14,23 +14,28 @@ def molecule_stream(spark: SparkSession, path: str, schema: StructType, files_pe
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def timed(df: DataFrame, time: str, late: str) -> DataFrame:
+    """*df* with a watermark on *time*; event times must have a zone, so those without one are taken in the session's."""
+    return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+
+
 def once_each(stream: DataFrame, id_column: str, time: str, late: str) -> DataFrame:
     """Each id once; state is kept as long as rows may be *late*."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([id_column])
+    return timed(stream, time, late).dropDuplicatesWithinWatermark([id_column])
 
 
 def window_counts(df: DataFrame, time: str, by: str, window: str, slide: str | None = None, late: str | None = None) -> DataFrame:
     """by, window_start, n, total: counts and summed magnitude in (sliding) windows; the same for tables and streams."""
-    timed = df.withWatermark(time, late) if late else df
+    rows = timed(df, time, late) if late else df
     span = F.window(time, window, slide) if slide else F.window(time, window)
     good = F.when(~F.isnan("magnitude"), F.col("magnitude"))
-    return timed.groupBy(span.alias("w"), by).agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("total")).select(by, F.col("w.start").alias("window_start"), "n", "total")
+    return rows.groupBy(span.alias("w"), by).agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("total")).select(by, F.col("w.start").alias("window_start"), "n", "total")
 
 
 def sessions(df: DataFrame, time: str, by: str, gap: str, late: str | None = None) -> DataFrame:
     """by, session_start, session_end, n: runs of rows no more than *gap* apart."""
-    timed = df.withWatermark(time, late) if late else df
-    return timed.groupBy(F.session_window(time, gap).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(by, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
+    rows = timed(df, time, late) if late else df
+    return rows.groupBy(F.session_window(time, gap).alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(by, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
 
 
 def write_batches(stream: DataFrame, path: str, checkpoint: str, process: Callable[[DataFrame], DataFrame]):
