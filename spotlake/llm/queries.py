@@ -96,3 +96,30 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     probes = table(spark, d, "probe_dict").groupBy("probe_id").agg(F.max(F.length("target_sequence")).alias("letters"))
     share = F.coalesce(F.try_divide(F.col("shared"), F.col("letters")), F.lit(0.0))
     return probes.join(found, "probe_id", "left").select("probe_id", F.coalesce("letters", F.lit(0)).alias("letters"), F.coalesce("shared", F.lit(0)).alias("shared"), F.round(share, 6).alias("share"))
+
+
+ORACLES["p3_found"] = r"""
+WITH s AS (SELECT DISTINCT transcript_id, regexp_replace(sequence, '\s+', '', 'g') AS q FROM transcriptome),
+t AS (SELECT transcript_id, q, length(q) AS n, regexp_extract_all(q, '[NnXx.\-]+|\||[^NnXx.|\-]+') AS k FROM s WHERE length(q) > 1500),
+u AS (SELECT transcript_id, n, k, unnest(range(1, len(k) + 1)) AS i FROM t),
+e AS (SELECT transcript_id, n, k[i] AS tok, sum(length(k[i])) OVER (PARTITION BY transcript_id, n, k ORDER BY i) AS e FROM u),
+c AS (SELECT DISTINCT transcript_id, CAST(e AS INTEGER) AS cut_at FROM e WHERE e < n AND (tok = '|' OR regexp_full_match(tok, '[NnXx.\-]{5,}')))
+SELECT * FROM c UNION SELECT transcript_id, 0 FROM t WHERE transcript_id NOT IN (SELECT transcript_id FROM c)
+"""
+
+ORACLES["p6_found"] = """
+WITH w AS (SELECT probe_id, CAST(i AS INTEGER) AS i, substring(target_sequence, i + 1, 40) AS k FROM (SELECT probe_id, target_sequence, unnest(range(0, length(target_sequence) - 39)) AS i FROM probe_dict WHERE length(target_sequence) >= 40)),
+s AS (SELECT k FROM w GROUP BY k HAVING count(DISTINCT probe_id) > 1),
+m AS (SELECT DISTINCT probe_id, i FROM w JOIN s USING (k)),
+r AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY probe_id ORDER BY i) + 40 THEN 0 ELSE 1 END AS fresh FROM m),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY probe_id ORDER BY i) AS run FROM r)
+SELECT probe_id, min(i) AS span_start, max(i) + 40 - min(i) AS span_len FROM g GROUP BY probe_id, run
+"""
+
+ORACLES["p8_found"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),
+dw AS (SELECT doc_id, array_to_string(w[i:i + 9], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS i FROM d WHERE len(w) >= 10)),
+bw AS (SELECT item_id, array_to_string(w[i:i + 9], ' ') AS k FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS i FROM b WHERE len(w) >= 10))
+SELECT DISTINCT doc_id, item_id FROM dw JOIN bw USING (k)
+"""
