@@ -18,8 +18,10 @@ DELTA = 200
 ERROR_BOUND = 0.01
 #: Rows that a task holds before it writes digests.
 BUFFER_ROWS = 400_000
-#: Digests of a key are first merged within this many random groups, then over them.
+#: A key's digests are first merged within this many random groups, then over them.
 SALTS = 16
+#: Digests (of some 4 kB) that a task merges together.
+BUFFER_DIGESTS = 5_000
 #: Percentile estimates are broadcast for the counting pass only if there are at most this many keys.
 BROADCAST_KEYS = 50_000
 
@@ -92,26 +94,50 @@ def partial_digests(df: DataFrame, keys: list[str], fields: list[str], delta: in
     return df.select(*keys, *fields).mapInArrow(run, schema)
 
 
-def _merge(group: pd.DataFrame, keys: list[str], delta: int) -> pd.DataFrame:
-    means, weights = np.concatenate(group["means"].to_numpy()), np.concatenate(group["weights"].to_numpy())
-    _, means, weights = cluster(np.zeros(len(means), dtype=np.int64), means, weights, delta)
-    one = group[keys].iloc[:1].copy()
-    one["n"], one["low"], one["high"] = int(group["n"].sum()), group["low"].min(), group["high"].max()
-    one["means"], one["weights"] = [means], [weights]
+def _merge(rows: pd.DataFrame, keys: list[str], delta: int) -> pd.DataFrame:
+    """One digest for each key of some digests, all keys re-clustered together."""
+    codes = rows.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+    first = np.unique(codes, return_index=True)[1]
+    size = rows["means"].map(len).to_numpy()
+    cc, means, weights = cluster(np.repeat(codes, size), np.concatenate(rows["means"].to_numpy()), np.concatenate(rows["weights"].to_numpy()), delta)
+    cut_at = np.flatnonzero(cc[1:] != cc[:-1]) + 1
+    one = rows[keys].iloc[first].reset_index(drop=True)
+    per = rows.groupby(codes)
+    one["n"], one["low"], one["high"] = per["n"].sum().to_numpy(), per["low"].min().to_numpy(), per["high"].max().to_numpy()
+    one["means"], one["weights"] = pd.Series(np.split(means, cut_at)), pd.Series(np.split(weights, cut_at))
     return one
 
 
+def _merge_stream(keys: list[str], delta: int):
+    """Over partitions sorted by key: merge buffers of digests; only the last key of a buffer waits for the next, as one digest."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for b in batches:
+            if len(b):
+                held.append(b)
+                n += len(b)
+            if n >= BUFFER_DIGESTS:
+                made = _merge(pd.concat(held, ignore_index=True), keys, delta)
+                yield made.iloc[:-1]
+                held, n = [made.iloc[-1:]], 1
+        if held:
+            yield _merge(pd.concat(held, ignore_index=True), keys, delta)
+
+    return run
+
+
 def merge_digests(digests: DataFrame, keys: list[str], delta: int = DELTA) -> DataFrame:
-    """Merge digests into one for each key by re-clustering their centroids, in two levels so that no task gathers all of a key.
+    """Merge digests into one for each key by re-clustering their centroids, in two levels so that no task gathers all of a hot key.
 
     Works on any mixture of digests: of partitions, days or runs. A null key is a group of its own.
     """
     types = dict(digests.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + f", {_DIGEST}"
     part = digests.select(*keys, "n", "low", "high", "means", "weights")
-    salted = part.withColumn("salt", F.pmod(F.hash("n", "low", "high", "means"), F.lit(SALTS)))
-    once = salted.groupBy(*keys, "salt").applyInPandas(lambda g: _merge(g, keys, delta), schema)
-    return once.groupBy(*keys).applyInPandas(lambda g: _merge(g, keys, delta), schema)
+    salt = F.pmod(F.hash("n", "low", "high", "means"), F.lit(SALTS))
+    once = part.repartition(*keys, salt).sortWithinPartitions(*keys).mapInPandas(_merge_stream(keys, delta), schema)
+    return once.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_merge_stream(keys, delta), schema)
 
 
 def _estimate(low: float, high: float, n: int, means: np.ndarray, weights: np.ndarray, quantiles: list[float]) -> list[float]:
@@ -145,7 +171,9 @@ def certify(rows: DataFrame, estimates: DataFrame, keys: list[str], fields: list
         same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
     counts = [F.count_if(F.col("number") < F.col("estimates")[i]).alias(f"under_{i}") for i in range(len(quantiles))]
     counts += [F.count_if(F.col("number") <= F.col("estimates")[i]).alias(f"upto_{i}") for i in range(len(quantiles))]
-    counted = values.join(F.broadcast(right) if few else right, same).groupBy(*keys, "field").agg(F.count(F.lit(1)).alias("n"), F.first("estimates").alias("estimates"), *counts)
+    right = F.broadcast(right) if few else right
+    per_key = values.join(right, same).groupBy(*keys, "field").agg(F.count(F.lit(1)).alias("n"), *counts)
+    counted = per_key.join(right, same)
     per = [F.struct(F.lit(float(q)).alias("quantile"), F.col("estimates")[i].alias("value"), F.col(f"under_{i}").alias("under"), F.col(f"upto_{i}").alias("upto")) for i, q in enumerate(quantiles)]
     out = counted.select(*keys, "field", "n", F.explode(F.array(*per)).alias("p")).select(*keys, "field", "n", "p.*")
     error = F.greatest(F.lit(0.0), F.col("under") / F.col("n") - F.col("quantile"), F.col("quantile") - F.col("upto") / F.col("n"))
