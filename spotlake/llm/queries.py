@@ -46,11 +46,20 @@ def _measured(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "molecules").select(*columns).filter("barcode_id IS NOT NULL").distinct()
 
 
+@query
+def p5_run_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Certified percentiles of every run and barcode; the digests they come from combine to any set of runs."""
+    rows = _measured(spark, d)
+    runs = merge_digests(partial_digests(rows, ["run_id", "barcode_id"], MEASURES), ["run_id", "barcode_id", "field"])
+    return certify(rows, estimate_quantiles(runs, PERCENTILES), ["run_id", "barcode_id"], MEASURES, PERCENTILES)
+
+
 @query
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Certified percentiles of every barcode, from the combined digests of the runs."""
     rows = _measured(spark, d)
-    days = partial_digests(rows, ["barcode_id"], MEASURES)
-    whole = merge_digests(days, ["barcode_id", "field"])
+    runs = merge_digests(partial_digests(rows, ["run_id", "barcode_id"], MEASURES), ["run_id", "barcode_id", "field"])
+    whole = merge_digests(runs, ["barcode_id", "field"])
     return certify(rows, estimate_quantiles(whole, PERCENTILES), ["barcode_id"], MEASURES, PERCENTILES)
 
 
