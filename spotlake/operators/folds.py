@@ -23,12 +23,18 @@ def keep_in_order(df: DataFrame, keys: list[str], order: list[str], step: Step)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, state = None, None
         for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
-                key = tuple(None if pd.isna(k) else k for k in key)
+            if not len(batch):
+                continue
+            codes = batch.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            masks = []
+            for a, b in zip(starts, [*starts[1:], len(batch)]):
+                key = tuple(None if pd.isna(k) else k for k in batch[keys].iloc[a])
                 if key != last:
                     last, state = key, None
-                state, mask = step(state, rows)
-                yield rows[mask]
+                state, mask = step(state, batch.iloc[a:b])
+                masks.append(mask)
+            yield batch[np.concatenate(masks)]
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, df.schema)
 

@@ -13,12 +13,18 @@ from spotlake.operators.ranking import row_numbers
 STRETCH = 256
 
 
-def windows(df: DataFrame, sequence: str, length: int, step: int = 1, *keep: str) -> DataFrame:
-    """Windows of *length* letters every *step* letters: the kept columns, shift (their start) and target. Shorter sequences give none."""
+def windows(df: DataFrame, sequence: str, length: int, step: int = 1, *keep: str, spread: bool = False) -> DataFrame:
+    """Windows of *length* letters every *step* letters: the kept columns, shift (their start) and target. Shorter sequences give none.
+
+    With *spread*, the stretches are shuffled (about the text once) before the windows (many times the text) are cut from them,
+    so a few very long sequences or files don't bear the work alone.
+    """
     stride = max(1, STRETCH // step) * step
     last = F.length(sequence) - length
     cut = df.filter(last >= 0).select(*keep, F.col(sequence).alias("_s"), F.explode(F.sequence(F.lit(0), F.length(sequence) - length, F.lit(stride))).alias("_at"))
     part = cut.select(*keep, "_at", F.substring(F.col("_s"), F.col("_at") + 1, F.lit(stride - step + length)).alias("_p"))
+    if spread:
+        part = part.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_p")
     each = part.select(*keep, "_at", "_p", F.explode(F.sequence(F.lit(0), F.length("_p") - length, F.lit(step))).alias("_i"))
     return each.select(*keep, (F.col("_at") + F.col("_i")).alias("shift"), F.substring(F.col("_p"), F.col("_i") + 1, F.lit(length)).alias("target"))
 
@@ -30,7 +36,7 @@ def kmer_sums(df: DataFrame, sequence: str, k: int, weight: Column | None = None
     weigh on a task.
     """
     masked = df.select(F.regexp_replace(F.upper(F.col(sequence)), "[^ACGT]", "N").alias("_s"), (F.lit(1).cast("bigint") if weight is None else weight).alias("_w"))
-    each = windows(masked, "_s", k, 1, "_w").filter(~F.contains("target", F.lit("N")))
+    each = windows(masked, "_s", k, 1, "_w", spread=True).filter(~F.contains("target", F.lit("N")))
     return each.groupBy(F.col("target").alias("kmer")).agg(F.sum("_w").alias("hits"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotlake.operators.ranking import row_numbers, running_sums
+from spotlake.session import cut
 
 #: The polynomial of Abramowitz and Stegun 7.1.26 for the error function (absolute error under 1.5e-7).
 ERF_P = 0.3275911
@@ -124,18 +125,22 @@ def correlations(profiles: DataFrame, item: str, feature: str, value: str) -> Da
 
 def permuted(df: DataFrame, row_id: str, label: str, seed: int) -> DataFrame:
     """A uniform permutation of *label* over all rows: row_id, label. The order is that of md5(seed, id), so it can be repeated anywhere."""
+    return _shuffled(df, row_id, label, seed, row_numbers(df.select(row_id), [], [row_id], "_row")).drop("_row")
+
+
+def _shuffled(df: DataFrame, row_id: str, label: str, seed: int, numbered: DataFrame) -> DataFrame:
+    """The numbered rows' other columns with the labels of permuted()."""
     mixed = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(row_id).cast("string"))).alias("_mix")
-    ids = row_numbers(df.select(row_id), [], [row_id], "_row")
-    labels = row_numbers(df.select(label, mixed), [], ["_mix"], "_row").drop("_mix")
-    return ids.join(labels, "_row").drop("_row")
+    return numbered.join(row_numbers(df.select(label, mixed), [], ["_mix"], "_row").drop("_mix"), "_row")
 
 
 def permutation_p(df: DataFrame, row_id: str, unit: str, label: str, shuffles: int) -> DataFrame:
     """Per unit and label: the observed count and the share of *shuffles* in which more rows of the unit have the label (strictly), BH within the unit."""
     observed = df.groupBy(unit, label).agg(F.count(F.lit(1)).alias("n"))
+    numbered = cut(row_numbers(df.select(row_id, unit), [], [row_id], "_row"))
     beaten = None
     for s in range(shuffles):
-        mixed = permuted(df, row_id, label, s).join(df.select(row_id, unit), row_id).groupBy(unit, label).agg(F.count(F.lit(1)).alias("m"))
+        mixed = _shuffled(df, row_id, label, s, numbered).groupBy(unit, label).agg(F.count(F.lit(1)).alias("m"))
         more = observed.join(mixed, [unit, label]).filter("m > n").select(unit, label)
         beaten = more if beaten is None else beaten.unionByName(more)
     times = beaten.groupBy(unit, label).agg(F.count(F.lit(1)).alias("times"))
