@@ -82,8 +82,11 @@ def _verified(corpus: DataFrame, corpus_id: str, corpus_text: str, items: DataFr
     read = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
 
     def cut_out(texts: pd.Series, places: pd.Series) -> pd.Series:
-        made = [words(t) for t in texts]
-        return pd.Series([[{"at": int(p), "passage": " ".join(w[p : p + run])} for p in ps] for w, ps in zip(made, places)])
+        made = []
+        for t, ps in zip(texts, places):  # the words of one text at a time
+            w = words(t)
+            made.append([{"at": int(p), "passage": " ".join(w[p : p + run])} for p in ps])
+        return pd.Series(made)
 
     passages = F.pandas_udf(cut_out, "array<struct<at:int,passage:string>>")
     wanted = read.join(mine, "item").select("item", F.explode(passages("text", "begins")).alias("p")).select("item", F.col("p.at").alias("begin"), F.col("p.passage").alias("wanted")).distinct()

@@ -48,15 +48,15 @@ def byte_classes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lead, kind
 
 
-def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole texts: first and last row, their bytes and the offsets of the texts in them. Null texts are empty."""
+def text_chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about *size* bytes: first and last row, their bytes and the offsets of the texts in them. Null texts are empty."""
     whole = texts.cast(pa.large_binary())
     if whole.null_count:
         whole = whole.fill_null(b"")
     if not len(whole):
         return
     sizes = np.diff(np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1])
-    group = np.cumsum(sizes) // CHUNK_BYTES
+    group = np.cumsum(sizes) // size
     cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(whole)]
     for a, b in zip(cuts, cuts[1:]):
         part = whole.slice(a, b - a)

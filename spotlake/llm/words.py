@@ -13,6 +13,8 @@ from spotlake.llm.utf8 import LETTER, NUMBER, byte_classes, text_chunks
 
 #: Odd multipliers of the hashes.
 _BYTE_STEP, _WORD_STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Texts that are decoded at a time, and bytes of them that are hashed at a time (some 40 bytes of memory each).
+TEXTS_AT_ONCE, CHUNK_BYTES = 500, 1 << 20
 _COMMAND = re.compile(r"\\[A-Za-z]+")
 
 
@@ -77,14 +79,16 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def lower_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """text_chunks() of the texts in lower case, where letters that turn into ASCII can't join a command."""
-    low = []
-    for t in texts.to_pylist():
-        t = t or ""
-        if "\u212a" in t or "\u0130" in t:
-            t = _COMMAND.sub(" ", t).replace("\\", " ")
-        low.append(t.lower())
-    return text_chunks(pa.array(low, pa.large_string()))
+    """text_chunks() of the texts in lower case, TEXTS_AT_ONCE at a time, where letters that turn into ASCII can't join a command."""
+    for first in range(0, len(texts), TEXTS_AT_ONCE):
+        low = []
+        for t in texts.slice(first, TEXTS_AT_ONCE).to_pylist():
+            t = t or ""
+            if "\u212a" in t or "\u0130" in t:
+                t = _COMMAND.sub(" ", t).replace("\\", " ")
+            low.append(t.lower())
+        for a, b, data, offsets in text_chunks(pa.array(low, pa.large_string()), CHUNK_BYTES):
+            yield first + a, first + b, data, offsets
 
 
 def shingle_rows(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -67,11 +67,10 @@ def test_corpus_encodes_with_defined_ids_for_null_and_empty(spark, sf, public):
     assert byte_bpe.encode_corpus(df.limit(0), "doc_id", "text").collect() == []
 
 
-def test_chunks_hold_whole_texts(monkeypatch):
-    monkeypatch.setattr("spotlake.llm.utf8.CHUNK_BYTES", 10)
+def test_chunks_hold_whole_texts():
     texts = ["", "abc", None, "x" * 50, "défg", "", "hij"]
     back = []
-    for _, _, data, off in text_chunks(pa.array(texts)):
+    for _, _, data, off in text_chunks(pa.array(texts), 10):
         back += [data[a:b].tobytes().decode() for a, b in zip(off, off[1:])]
     assert back == [t or "" for t in texts]
     assert list(text_chunks(pa.array([], pa.string()))) == []
