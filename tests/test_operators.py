@@ -176,3 +176,53 @@ def test_stream_counts_each_molecule_once(spark, sf, tmp_path):
     assert got.count() == rows.select("molecule_id").distinct().count() and got.select("batch").distinct().count() >= 3
     counted = window_counts(got, "decoded_at", "fov", "1 hour", "30 minutes")
     assert counted.agg(F.sum("n")).first()[0] == 2 * got.count()
+
+
+def test_single_linkage_and_labels(spark):
+    from spotlake.operators import models as mo
+
+    items = spark.createDataFrame([(i,) for i in range(1, 8)], "item bigint")
+    pairs = spark.createDataFrame([(1, 2, 1), (2, 3, 2), (3, 4, 5), (5, 6, 1)], "a bigint, b bigint, distance int")
+    assert dict(mo.single_linkage(pairs, items, "distance", 2).collect()) == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5, 7: 7}
+    two = spark.createDataFrame([(a, b) for g in (range(1, 6), range(11, 16)) for a in g for b in g if a < b] + [(5, 11)], "a bigint, b bigint")
+    labels = dict(mo.propagate_labels(two, 5).collect())
+    assert len(set(labels.values())) <= 2 and len({labels[i] for i in range(1, 5)}) == 1
+
+
+def test_codes_keep_their_distance(spark):
+    from spotlake.operators import models as mo
+
+    codes = spark.createDataFrame([(0, "a", 0b0000), (1, "b", 0b0001), (2, "c", 0b0011), (3, "d", 0b1111)], "barcode_id int, name string, code bigint")
+    assert sorted(r.barcode_id for r in mo.choose_codes(codes, 2).collect()) == [0, 2, 3]
+    assert mo.single_bit_errors(codes, 4).count() == 20
+    named = mo.assign_codes(spark.createDataFrame([("g1",), ("g2",)], "g string"), "g", codes, 1).collect()
+    assert sorted(r.gene for r in named) == ["Blank-1", "Blank-2", "g1", "g2"]
+
+
+def test_rotation_is_found(spark):
+    from spotlake.operators import models as mo
+
+    a = math.radians(30)
+    rows = [(1, float(x), float(y), math.cos(a) * x - math.sin(a) * y + 5, math.sin(a) * x + math.cos(a) * y - 2) for x in range(5) for y in range(4)] + [(1, None, 1.0, 1.0, 1.0)]
+    r = mo.fit_rotation(spark.createDataFrame(rows, "k int, x double, y double, u double, v double"), "k", "x", "y", "u", "v").first()
+    assert r.n == 20 and r.angle == pytest.approx(a) and (r.tx, r.ty) == (pytest.approx(5), pytest.approx(-2))
+
+
+def test_quality_separates_blanks(spark):
+    from spotlake.operators import models as mo
+
+    rows = [(i, i % 10 == 0, 1.0 + (i % 10 == 0) * 5 + (i % 7) * 0.1, None if i == 3 else 1.0) for i in range(2000)]
+    rated = mo.predict_quality(spark.createDataFrame(rows, "id bigint, blank boolean, f double, g double"), "id", "blank", ["f", "g"])
+    means = {r.blank: r.q for r in rated.join(spark.createDataFrame(rows, "id bigint, blank boolean, f double, g double"), "id").groupBy("blank").agg(F.avg("quality").alias("q")).collect()}
+    assert rated.count() == 2000 and means[True] > 0.8 and means[False] < 0.2
+
+
+def test_windows_spread_or_not(spark):
+    from spotlake.operators import probes as pb
+
+    text = "".join("ACGT"[(i * 7 + i // 5) % 4] for i in range(1000))
+    df = spark.createDataFrame([("a", text), ("short", "AC"), ("none", None)], "t string, s string")
+    for step in (1, 3, 300):
+        for spread in (False, True):
+            got = sorted((r.shift, r.target) for r in pb.windows(df, "s", 17, step, "t", spread=spread).collect())
+            assert got == [(i, text[i : i + 17]) for i in range(0, 1000 - 16, step)]
