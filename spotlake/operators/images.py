@@ -181,6 +181,55 @@ def spot_traces(spots: DataFrame, planes: DataFrame, key: str, index: str, reach
     return planes.join(grouped, key).select(key, index, "data", "spots").mapInPandas(run, f"{key} {types[key]}, {index} {types[index]}, y int, x int, value double")
 
 
+def equalize(a: np.ndarray, tiles: int = 4, limit: float = 0.03, levels: int = 64) -> np.ndarray:
+    """Adaptive histogram equalization to [0, 1]: clipped histograms of square tiles, interpolated between the tiles' centers."""
+    low, high = float(a.min()), float(a.max())
+    if high <= low:
+        return np.zeros_like(a, dtype=float)
+    q = np.minimum(((a - low) / (high - low) * levels).astype(int), levels - 1)
+    n = a.shape[0] // tiles
+    maps = np.empty((tiles, tiles, levels))
+    for i in range(tiles):
+        for j in range(tiles):
+            h = np.bincount(q[i * n : (i + 1) * n, j * n : (j + 1) * n].ravel(), minlength=levels).astype(float)
+            top = max(1.0, limit * n * n)
+            over = np.maximum(h - top, 0).sum()
+            maps[i, j] = np.cumsum(np.minimum(h, top) + over / levels) / (n * n)
+    at = np.clip((np.arange(a.shape[0]) - n / 2 + 0.5) / n, 0, tiles - 1)
+    i0 = np.minimum(at.astype(int), max(tiles - 2, 0))
+    i1, w = np.minimum(i0 + 1, tiles - 1), at - i0
+    wy, wx = w[:, None], w[None, :]
+    pick = lambda y, x: maps[y[:, None], x[None, :], q]
+    return (1 - wy) * ((1 - wx) * pick(i0, i0) + wx * pick(i0, i1)) + wy * ((1 - wx) * pick(i1, i0) + wx * pick(i1, i1))
+
+
+def block_means(a: np.ndarray, size: int) -> np.ndarray:
+    """Means of size x size blocks; what is left at the border is cut off."""
+    n, m = (s // size * size for s in a.shape)
+    return a[:n, :m].reshape(n // size, size, m // size, size).mean((1, 3))
+
+
+def moments(df: DataFrame, spots: DataFrame, keys: list[str], reach: int) -> DataFrame:
+    """Weighted moments around each spot (keys, y, x) of its plane: cy, cx, height, background, and the variances vy, vx, cyx."""
+    grouped = spots.groupBy(*keys).agg(F.collect_set(F.struct("y", "x")).alias("spots"))  # bounded by the pixels of a plane
+
+    def one(a: np.ndarray, y: int, x: int) -> dict:
+        y0, x0 = max(y - reach, 0), max(x - reach, 0)
+        part = a[y0 : y + reach + 1, x0 : x + reach + 1].astype(float)
+        back = float(part.min())
+        w = part - back
+        w = w / w.sum() if w.sum() > 0 else np.full(part.shape, 1 / part.size)
+        ys, xs = np.mgrid[y0 : y0 + part.shape[0], x0 : x0 + part.shape[1]]
+        cy, cx = float((w * ys).sum()), float((w * xs).sum())
+        return {"y": y, "x": x, "cy": cy, "cx": cx, "height": float(part.max()) - back, "background": back, "vy": float((w * (ys - cy) ** 2).sum()), "vx": float((w * (xs - cx) ** 2).sum()), "cyx": float((w * (ys - cy) * (xs - cx)).sum())}
+
+    def run(data: pd.Series, spots: pd.Series) -> pd.Series:
+        return pd.Series([[one(a, int(s["y"]), int(s["x"])) for s in ss] for d, ss in zip(data, spots) for a in [plane(d)]])
+
+    kind = "array<struct<y:int,x:int,cy:double,cx:double,height:double,background:double,vy:double,vx:double,cyx:double>>"
+    return df.join(grouped, keys).select(*keys, F.explode(F.pandas_udf(run, kind)("data", "spots")).alias("m")).select(*keys, "m.*")
+
+
 def tile_grid(size: int, tile: int, overlap: int) -> list[tuple[int, int, int, int]]:
     """(y, x, y with overlap, x with overlap) of the tiles of a square plane."""
     return [(y, x, max(0, y - overlap), max(0, x - overlap)) for y in range(0, size, tile) for x in range(0, size, tile)]

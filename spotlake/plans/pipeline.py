@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotlake.operators import images as im
 from spotlake.operators.folds import keep_in_order, sparse_centers
+from spotlake.operators.proximity import region_parts
+from spotlake.operators.spatial import region_measures
 from spotlake.plans import query
-from spotlake.session import table
+from spotlake.session import shared_checkpoints, table
 from spotlake.sources import layout as lo
 from spotlake.sources.views import MOLS_SQL, codebook, molecules
-from spotlake.streaming.molecules import sessions, window_counts
+from spotlake.streaming.molecules import molecule_stream, once_each, sessions, window_counts, write_batches
 
 BINS, TILE = 64, 2048.0
 
@@ -129,6 +133,30 @@ def image_spot_traces(spark: SparkSession, d: str) -> DataFrame:
     return im.spot_traces(spots, moved, "fov", "z", 1)
 
 
+@query("image_equalized_means")
+def image_equalized_means(spark: SparkSession, d: str) -> DataFrame:
+    """The mean of every plane after adaptive equalization, and of its brightest block of 8 x 8 pixels."""
+    even = im.map_planes(_images(spark, d), im.equalize)
+    mean = F.pandas_udf(lambda s: s.map(lambda b: float(im.plane(b).mean())), "double")
+    block = F.pandas_udf(lambda s: s.map(lambda b: float(im.block_means(im.plane(b), 8).max())), "double")
+    return even.select("fov", "z", F.round(mean("data"), 5).alias("mean"), F.round(block("data"), 5).alias("block"))
+
+
+@query("image_spot_moments")
+def image_spot_moments(spark: SparkSession, d: str) -> DataFrame:
+    """Moment fits of the seeds of the blurred planes."""
+    soft = im.map_planes(_images(spark, d), lambda a: im.blur(a, 1.0))
+    return im.moments(soft, im.seeds(soft, ["fov", "z"], 2, 2.0), ["fov", "z"], 2)
+
+
+@query("image_z_projection", f"WITH {MOLS_SQL}, p AS (SELECT fov, z, floor(x / 32) AS px, floor(y / 32) AS py, count(*) AS n FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY 1, 2, 3, 4) SELECT fov, CAST(px AS INTEGER) AS px, CAST(py AS INTEGER) AS py, CAST(max(n) AS BIGINT) AS peak FROM p GROUP BY 1, 2, 3")
+def image_z_projection(spark: SparkSession, d: str) -> DataFrame:
+    """The brightest plane's count of every pixel."""
+    at = lambda c: F.floor(F.col(c) / 32).cast("int")
+    inside = molecules(spark, d).filter("fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048")
+    return inside.groupBy("fov", "z", at("x").alias("px"), at("y").alias("py")).agg(F.count(F.lit(1)).alias("n")).groupBy("fov", "px", "py").agg(F.max("n").alias("peak"))
+
+
 _GOODM = f"WITH {MOLS_SQL}"
 
 
@@ -141,3 +169,32 @@ def hourly_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("session_counts", "WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM events), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e) SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY user_id, k")
 def session_counts(spark: SparkSession, d: str) -> DataFrame:
     return sessions(table(spark, d, "events"), "ts", "user_id", "1 hour")
+
+
+_STREAMED = """WITH m AS (SELECT DISTINCT molecule_id, fov, decoded_at FROM molecules WHERE fov IS NOT NULL)
+SELECT fov, date_trunc('hour', decoded_at) AS window_start, CAST(count(*) AS BIGINT) AS n FROM m GROUP BY 1, 2"""
+
+
+@query("stream_hourly_counts", _STREAMED)
+def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The table read as a stream of files, each molecule kept once, written batch by batch to the shared folder, then counted by hour.
+
+    Ids are remembered for 400 days of decoding time, which is more than the given rows are late.
+    """
+    shared_checkpoints(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    rows = table(spark, d, "molecules")
+    one_file = any(f.endswith("/molecules.parquet") for f in rows.inputFiles())
+    source = (d, "molecules.parquet") if one_file else (f"{d}/molecules.parquet", "*.parquet")
+    stream = once_each(molecule_stream(spark, source[0], rows.schema, pattern=source[1]), "molecule_id", "decoded_at", "400 days")
+    write_batches(stream, f"{folder}/out", f"{folder}/state", lambda df: df.select("molecule_id", "fov", "decoded_at", "magnitude")).awaitTermination()
+    kept = spark.read.parquet(f"{folder}/out").filter("fov IS NOT NULL").withColumn("decoded_at", F.col("decoded_at").cast("timestamp_ntz"))
+    return window_counts(kept, "decoded_at", "fov", "1 hour").drop("total")
+
+
+@query("cell_metadata")
+def cell_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each cell: mean area over its planes, planes, and its tile, place and lowest plane."""
+    measures = region_measures(region_parts(table(spark, d, "cells"), "id", "geometry", "z")).groupBy(F.col("region_id").alias("id")).agg(F.round(F.avg("area"), 4).alias("area"), F.count(F.lit(1)).alias("planes"))
+    first = table(spark, d, "cells").groupBy("id").agg(F.min(F.struct("z", "fov", "x", "y")).alias("f")).select("id", "f.*")
+    return measures.join(first, "id")

@@ -13,7 +13,7 @@ IMAGE_NAME = r"^([^.]*)_(\d+)_(\d+)(\..*)?$"
 #: The fields of a microscope and their defaults.
 MICROSCOPE = {
     "flip_horizontal": True, "flip_vertical": False, "transpose": True, "microns_per_pixel": 0.108,
-    "mag": 60.0, "tubelens": 200.0, "na": 1.4, "ni": 1.515, "wd": 0.13, "z_step": 1.5,
+    "image_dimensions": [2048, 2048], "mag": 60.0, "tubelens": 200.0, "na": 1.4, "ni": 1.515, "wd": 150.0, "z_step": 1.5,
 }
 
 
@@ -96,9 +96,9 @@ def bits_of_text(c: Column) -> Column:
 
 def read_microscope(spark: SparkSession, path: str) -> DataFrame:
     """The microscope's fields from JSON, defaults for those that are missing."""
-    kinds = {bool: T.BooleanType(), float: T.DoubleType()}
+    kinds = {bool: T.BooleanType(), float: T.DoubleType(), list: T.ArrayType(T.IntegerType())}
     schema = T.StructType([T.StructField(k, kinds[type(v)]) for k, v in MICROSCOPE.items()])
-    return spark.read.schema(schema).json(path, multiLine=True).select(*[F.coalesce(k, F.lit(v)).alias(k) for k, v in MICROSCOPE.items()])
+    return spark.read.schema(schema).json(path, multiLine=True).select(*[F.coalesce(F.col(k), F.lit(v)).alias(k) for k, v in MICROSCOPE.items()])
 
 
 def covering_codes(df: DataFrame, text: str, bits: int) -> DataFrame:
@@ -106,3 +106,19 @@ def covering_codes(df: DataFrame, text: str, bits: int) -> DataFrame:
     on = F.transform(F.split(F.trim(text), r"\s+"), lambda x: x.cast("int"))
     rows = df.filter(~F.contains(text, F.lit("<")) & F.col(text).rlike(r"^\s*\d+(\s+\d+)*\s*$"))
     return rows.select(F.transform(F.sequence(F.lit(1), F.lit(bits)), lambda i: F.array_contains(on, i).cast("int")).alias("bits"))
+
+
+def parse_frame_info(lines: DataFrame, path: str = "path", text: str = "value") -> DataFrame:
+    """path, width, height, frames and endian of the `key = value` lines that describe a frame file; null where a line is missing."""
+    number = lambda p: F.max(F.when(F.regexp_extract(text, p, 1) != "", F.regexp_extract(text, p, 1)))
+    return lines.groupBy(path).agg(
+        number(r"frame dimensions\s*=\s*(\d+)\s*x").cast("int").alias("width"),
+        number(r"frame dimensions\s*=\s*\d+\s*x\s*(\d+)").cast("int").alias("height"),
+        number(r"number of frames\s*=\s*(\d+)").cast("int").alias("frames"),
+        number(r"data type\s*=\s*.*\((\w+) endian\)").alias("endian"),
+    )
+
+
+def channel_of_frame(c: Column, channels: int) -> tuple[Column, Column]:
+    """(channel, z) of a frame number when channels take turns."""
+    return F.pmod(c, F.lit(channels)).alias("channel"), F.floor(c / channels).cast("int").alias("z")

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def molecule_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 8) -> DataFrame:
-    """New files of a folder as a stream; the number of files a batch bounds its memory."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def molecule_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 8, pattern: str = "*.parquet") -> DataFrame:
+    """New files of a folder whose name fits *pattern*, as a stream; the number of files bounds a batch."""
+    options = {"maxFilesPerTrigger": files_per_trigger, "pathGlobFilter": pattern}
+    return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
 def timed(df: DataFrame, time: str, late: str) -> DataFrame:
