@@ -11,6 +11,8 @@ from spotlake.session import cut
 #: The polynomial of Abramowitz and Stegun 7.1.26 for the error function (absolute error under 1.5e-7).
 ERF_P = 0.3275911
 ERF_A = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
+#: A product of deviations up to this is taken as no variation.
+NO_SPREAD = 1e-15
 
 
 def two_sided_p(z: Column) -> Column:
@@ -117,10 +119,14 @@ def welch_t(df: DataFrame, keys: list[str], value: str, in_group: Column) -> Dat
 
 
 def correlations(profiles: DataFrame, item: str, feature: str, value: str) -> DataFrame:
-    """Correlation of every two items over the features both have: a, b (a < b), n, corr. Items are the groups of a screen, bounded by its design."""
+    """Correlation of every two items over the features both have: a, b (a < b), n, corr (null where one doesn't vary).
+
+    Items are the groups of a screen, bounded by its design.
+    """
     left = profiles.select(F.col(item).alias("a"), F.col(feature).alias("f"), F.col(value).alias("x"))
     right = profiles.select(F.col(item).alias("b"), F.col(feature).alias("f"), F.col(value).alias("y"))
-    return left.join(right, "f").filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("corr"))
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    return left.join(right, "f").filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.when(spread > NO_SPREAD, F.try_divide(F.covar_pop("x", "y"), spread)).alias("corr"))
 
 
 def permuted(df: DataFrame, row_id: str, label: str, seed: int) -> DataFrame:

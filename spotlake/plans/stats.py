@@ -89,7 +89,7 @@ _PROFILES = f"""{_COUNTS}, {_GROUPS}, sizes AS (SELECT grp, count(*) AS cells FR
 prof AS (SELECT grp, gene, sum(n) / max(cells) AS mean FROM counts JOIN groups USING (cell) JOIN sizes USING (grp) GROUP BY grp, gene)"""
 
 
-@query("group_correlations", f"{_PROFILES} SELECT a.grp AS a, b.grp AS b, CAST(count(*) AS BIGINT) AS n, round(corr(a.mean, b.mean), 6) AS corr FROM prof a JOIN prof b USING (gene) WHERE a.grp < b.grp GROUP BY 1, 2")
+@query("group_correlations", f"{_PROFILES} SELECT a.grp AS a, b.grp AS b, CAST(count(*) AS BIGINT) AS n, round(CASE WHEN stddev_pop(a.mean) * stddev_pop(b.mean) > 1e-15 THEN covar_pop(a.mean, b.mean) / (stddev_pop(a.mean) * stddev_pop(b.mean)) END, 6) AS corr FROM prof a JOIN prof b USING (gene) WHERE a.grp < b.grp GROUP BY 1, 2")
 def group_correlations(spark: SparkSession, d: str) -> DataFrame:
     return st.correlations(group_means(_counts(spark, d), _groups(spark, d), 0), "grp", "gene", "mean").withColumn("corr", F.round("corr", 6))
 
