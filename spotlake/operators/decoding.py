@@ -123,36 +123,33 @@ def trace_features(df: DataFrame, key: str, trace: str, bits: str) -> DataFrame:
     return base.select(key, F.array_max("t").alias("high"), F.array_min("t").alias("low"), (F.array_max("t") - F.array_min("t")).alias("spread"), m.alias("mean"), sd.alias("sd"), mean(F.col("on")).alias("on_mean"), mean(F.col("off")).alias("off_mean"), F.coalesce(F.try_divide(mean(F.col("on")), mean(F.col("off"))), F.lit(0.0)).alias("ratio"))
 
 
-def knn(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int, block: int = 512) -> DataFrame:
+def knn(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """query, key, dist, place: the *k* nearest rows of each query row, itself left out (the least key of ties).
 
-    Queries are a stated set; they are shipped in blocks of *block*, each a scan of all rows that keeps k candidates of a query for
-    each Arrow batch, so only (batches x k) rows of a query are ranked. Nothing else is gathered.
+    Queries are a stated set. Queries and rows are hashed to groups of about *block*; every pair of groups is one task's matrix product that
+    keeps k candidates of each query, so a query ranks (groups of rows x k) candidates and nothing goes through the driver.
+    Rows are shuffled once for each group of queries. Null vectors and keys have no neighbours and are none.
     """
-    parts = [r["b"] for r in queries.select((F.pmod(F.xxhash64(key), F.lit(max(1, -(-queries.count() // block))))).alias("b")).distinct().collect()]
     types = dict(df.dtypes)
-    found = None
-    n_parts = max(1, -(-queries.count() // block))
-    for p in sorted(parts):
-        rows = queries.filter(F.pmod(F.xxhash64(key), F.lit(n_parts)) == p).select(key, vector).collect()
-        names, q = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
-
-        def run(batches: Iterator[pd.DataFrame], names: np.ndarray = names, q: np.ndarray = q) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if not len(b):
-                    continue
-                x, ids = np.array(b[vector].tolist(), dtype=np.float64), b[key].to_numpy()
-                d = np.sqrt(np.maximum((q * q).sum(1)[:, None] - 2 * q @ x.T + (x * x).sum(1), 0)).round(9)
-                d[names[:, None] == ids] = np.inf
-                order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
-                near = np.take_along_axis(d, order, 1)
-                out = pd.DataFrame({"query": np.repeat(names, order.shape[1]), key: ids[order].ravel(), "dist": near.ravel()})
-                yield out[np.isfinite(out["dist"])]
-
-        one = df.select(key, vector).mapInPandas(run, f"query {types[key]}, `{key}` {types[key]}, dist double")
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        return df.sparkSession.createDataFrame([], f"query {types[key]}, `{key}` {types[key]}, dist double, place int")
+    good = lambda d: d.select(key, vector).filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
+    groups = lambda d: max(1, -(-good(d).count() // block))
+    n_q, n_d = groups(queries), groups(df)
+    part = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    asked = good(queries).withColumn("_q", part(n_q)).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(n_d - 1))))
+    rows = good(df).withColumn("_d", part(n_d)).withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+
+    def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query": a[key].iloc[:0], key: b[key].iloc[:0], "dist": np.empty(0)})
+        names, ids = a[key].to_numpy(), b[key].to_numpy()
+        q, x = (np.array(t[vector].tolist(), dtype=np.float64) for t in (a, b))
+        d = np.sqrt(np.maximum((q * q).sum(1)[:, None] - 2 * q @ x.T + (x * x).sum(1), 0)).round(9)
+        d[names[:, None] == ids] = np.inf
+        order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+        out = pd.DataFrame({"query": np.repeat(names, order.shape[1]), key: ids[order].ravel(), "dist": np.take_along_axis(d, order, 1).ravel()})
+        return out[np.isfinite(out["dist"])]
+
+    found = asked.groupBy("_q", "_d").cogroup(rows.groupBy("_q", "_d")).applyInPandas(near, f"query {types[key]}, `{key}` {types[key]}, dist double")
     place = F.row_number().over(Window.partitionBy("query").orderBy("dist", key))
     return found.withColumn("place", place).filter(F.col("place") <= k)
 

@@ -226,3 +226,15 @@ def test_windows_spread_or_not(spark):
         for spread in (False, True):
             got = sorted((r.shift, r.target) for r in pb.windows(df, "s", 17, step, "t", spread=spread).collect())
             assert got == [(i, text[i : i + 17]) for i in range(0, 1000 - 16, step)]
+
+
+def test_knn_whatever_the_blocks(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.integers(0, 4, 3)]) for i in range(300)] + [(900, None), (None, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    x = {i: np.array(v) for i, v in rows if i is not None and v is not None}
+    want = {(q, i, p) for q in x if q % 20 == 0 for p, (_, i) in enumerate(sorted((round(float(np.linalg.norm(x[q] - x[i])), 9), i) for i in x if i != q)[:5], 1)}
+    for block in (40, 4096):
+        got = {(r.query, r.id, r.place) for r in de.knn(df, "id", "v", df.filter("id % 20 = 0"), 5, block).collect()}
+        assert got == want
+    assert de.knn(df, "id", "v", df.limit(0), 5).collect() == []
