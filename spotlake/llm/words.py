@@ -13,8 +13,8 @@ from spotlake.llm.utf8 import LETTER, NUMBER, byte_classes, text_chunks
 
 #: Odd multipliers of the hashes.
 _BYTE_STEP, _WORD_STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: Texts that are decoded at a time, and bytes of them that are hashed at a time (some 40 bytes of memory each).
-TEXTS_AT_ONCE, CHUNK_BYTES = 500, 1 << 20
+#: Texts that are decoded at a time, bytes of them (or one text) that are worked on at a time, and words that are hashed at a time.
+TEXTS_AT_ONCE, CHUNK_BYTES, WORDS_AT_ONCE = 500, 1 << 20, 1 << 16
 _COMMAND = re.compile(r"\\[A-Za-z]+")
 
 
@@ -61,9 +61,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
     end = np.flatnonzero(inside & (np.r_[~inside[1:], True] | begins[1:])) + 1
     size = end - start
-    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    letter = data[np.repeat(start, size) + within].astype(np.uint64) + np.uint64(1)
-    hashed = np.add.reduceat(letter * _powers(int(_BYTE_STEP), 1 << int(size.max()).bit_length())[within], np.cumsum(size) - size)
+    power = _powers(int(_BYTE_STEP), 1 << int(size.max()).bit_length())
+    hashed = np.empty(len(start), np.uint64)
+    for k in range(0, len(start), WORDS_AT_ONCE):
+        n_letters, first = size[k : k + WORDS_AT_ONCE], start[k : k + WORDS_AT_ONCE]
+        before = np.cumsum(n_letters) - n_letters
+        within = np.arange(n_letters.sum()) - np.repeat(before, n_letters)
+        letter = data[np.repeat(first, n_letters) + within].astype(np.uint64) + np.uint64(1)
+        hashed[k : k + WORDS_AT_ONCE] = np.add.reduceat(letter * power[within], before)
     return _mix(hashed + size.astype(np.uint64)), np.searchsorted(start, offsets)
 
 

@@ -76,7 +76,9 @@ def test_chunks_hold_whole_texts():
     assert list(text_chunks(pa.array([], pa.string()))) == []
 
 
-def test_word_hashes_follow_words():
+@pytest.mark.parametrize("at_once", [3, 1 << 16])
+def test_word_hashes_follow_words(monkeypatch, at_once):
+    monkeypatch.setattr("spotlake.llm.words.WORDS_AT_ONCE", at_once)
     random.seed(3)
     bits = ["\\", "a", "b", "É", "é", " ", "_", "1", "²", "İ", "K", "\u212a", "一", "-", "\n", "\\alpha", "\\\\"]
     texts = ["".join(random.choice(bits) for _ in range(random.randint(0, 30))) for _ in range(4000)]
