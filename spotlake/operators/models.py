@@ -97,14 +97,14 @@ def single_bit_errors(codebook: DataFrame, bits: int) -> DataFrame:
     return codebook.select("barcode_id", "code", flip).select("barcode_id", "bit", F.when(F.col("bit") < 0, F.col("code")).otherwise(F.expr("code ^ shiftleft(cast(1 as bigint), greatest(bit, 0))")).alias("code"))
 
 
-def fit_rotation(df: DataFrame, key: str, x: str, y: str, u: str, v: str) -> DataFrame:
+def fit_rotation(df: DataFrame, key: str | list[str], x: str, y: str, u: str, v: str) -> DataFrame:
     """key, n, angle, tx, ty: the rotation and shift that best move (x, y) onto (u, v), from combined sums."""
     good = df.filter(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in (x, y, u, v)))
-    n = F.count(F.lit(1))
-    s = good.groupBy(key).agg(n.alias("n"), *[F.avg(c).alias(f"m{c}") for c in (x, y, u, v)], *[F.covar_pop(a, b).alias(f"c{a}{b}") for a, b in ((x, u), (y, v), (x, v), (y, u))])
+    n, keys = F.count(F.lit(1)), [key] if isinstance(key, str) else key
+    s = good.groupBy(*keys).agg(n.alias("n"), *[F.avg(c).alias(f"m{c}") for c in (x, y, u, v)], *[F.covar_pop(a, b).alias(f"c{a}{b}") for a, b in ((x, u), (y, v), (x, v), (y, u))])
     turned = s.withColumn("angle", F.atan2(F.col(f"c{x}{v}") - F.col(f"c{y}{u}"), F.col(f"c{x}{u}") + F.col(f"c{y}{v}")))
     cos, sin = F.cos("angle"), F.sin("angle")
-    return turned.select(key, "n", "angle", (F.col(f"m{u}") - cos * F.col(f"m{x}") + sin * F.col(f"m{y}")).alias("tx"), (F.col(f"m{v}") - sin * F.col(f"m{x}") - cos * F.col(f"m{y}")).alias("ty"))
+    return turned.select(*keys, "n", "angle", (F.col(f"m{u}") - cos * F.col(f"m{x}") + sin * F.col(f"m{y}")).alias("tx"), (F.col(f"m{v}") - sin * F.col(f"m{x}") - cos * F.col(f"m{y}")).alias("ty"))
 
 
 def label_overlaps(pixels: DataFrame, planes: list[float], least: float) -> DataFrame:

@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from spotlake.operators.proximity import UNITS, near_pairs
 
 
-def to_global(df: DataFrame, positions: DataFrame, pixel: float) -> DataFrame:
-    """gx, gy of pixel positions: the tile's position plus pixels in micrometres. Positions have one row a tile and are broadcast."""
-    return df.join(F.broadcast(positions), "fov").withColumn("gx", F.col("fx") + F.col("x") * pixel).withColumn("gy", F.col("fy") + F.col("y") * pixel)
+def _in_tile(df: DataFrame, positions: DataFrame, keys: list[str] | None) -> DataFrame:
+    """Rows with the position of their tile. Tiles of one run (by fov) are broadcast; those of many runs grow with the runs, so Spark chooses."""
+    return df.join(positions, keys) if keys else df.join(F.broadcast(positions), "fov")
 
 
-def to_pixels(df: DataFrame, positions: DataFrame, pixel: float) -> DataFrame:
+def to_global(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str] | None = None) -> DataFrame:
+    """gx, gy of pixel positions: the tile's position plus pixels in micrometres. Positions have one row a tile: a fov, or the *keys*."""
+    return _in_tile(df, positions, keys).withColumn("gx", F.col("fx") + F.col("x") * pixel).withColumn("gy", F.col("fy") + F.col("y") * pixel)
+
+
+def to_pixels(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str] | None = None) -> DataFrame:
     """px, py: the inverse, cut toward zero."""
     inverse = lambda g, o: ((F.col(g) - F.col(o)) / pixel).cast("int")
-    return df.join(F.broadcast(positions), "fov").withColumn("px", inverse("gx", "fx")).withColumn("py", inverse("gy", "fy"))
+    return _in_tile(df, positions, keys).withColumn("px", inverse("gx", "fx")).withColumn("py", inverse("gy", "fy"))
 
 
 def z_of_plane(plane: Column, planes: list[float]) -> Column:
@@ -28,19 +33,21 @@ def z_of_plane(plane: Column, planes: list[float]) -> Column:
     return a + (b - a) * at
 
 
-def boxes(positions: DataFrame, width: float, height: float) -> DataFrame:
-    """fov, x0, y0, x1, y1 of each tile."""
-    return positions.select("fov", F.col("fx").alias("x0"), F.col("fy").alias("y0"), (F.col("fx") + width).alias("x1"), (F.col("fy") + height).alias("y1"))
+def boxes(positions: DataFrame, width: float, height: float, keep: list[str] | None = None) -> DataFrame:
+    """The columns to keep and fov, x0, y0, x1, y1 of each tile."""
+    return positions.select(*(keep or []), "fov", F.col("fx").alias("x0"), F.col("fy").alias("y0"), (F.col("fx") + width).alias("x1"), (F.col("fy") + height).alias("y1"))
 
 
-def overlapping_boxes(tiles: DataFrame, key: str, cell: float) -> DataFrame:
-    """Ordered pairs (a, b), a != b, of boxes that meet (touching counts): each box stands in every grid cell it meets, and the equi-join is on the cell."""
-    spread = tiles.select(F.col(key).alias("k"), "x0", "y0", "x1", "y1", F.explode(F.sequence(F.floor(F.col("x0") / cell), F.floor(F.col("x1") / cell))).alias("cx")).select(
+def overlapping_boxes(tiles: DataFrame, key: str, cell: float, within: list[str] | None = None) -> DataFrame:
+    """Ordered pairs (a, b), a != b, of boxes that meet (touching counts), of equal *within* columns: each box stands in every grid cell it meets, and the equi-join is on those and the cell."""
+    same = within or []
+    spread = tiles.select(*same, F.col(key).alias("k"), "x0", "y0", "x1", "y1", F.explode(F.sequence(F.floor(F.col("x0") / cell), F.floor(F.col("x1") / cell))).alias("cx")).select(
         "*", F.explode(F.sequence(F.floor(F.col("y0") / cell), F.floor(F.col("y1") / cell))).alias("cy")
     )
-    other = spread.select(*[F.col(c).alias(f"o_{c}") if c not in ("cx", "cy") else F.col(c) for c in spread.columns])
+    on = [*same, "cx", "cy"]
+    other = spread.select(*[F.col(c).alias(f"o_{c}") if c not in on else F.col(c) for c in spread.columns])
     meets = (F.col("x0") <= F.col("o_x1")) & (F.col("o_x0") <= F.col("x1")) & (F.col("y0") <= F.col("o_y1")) & (F.col("o_y0") <= F.col("y1"))
-    return spread.join(other, ["cx", "cy"]).filter((F.col("k") != F.col("o_k")) & meets).select(F.col("k").alias("a"), F.col("o_k").alias("b")).distinct()
+    return spread.join(other, on).filter((F.col("k") != F.col("o_k")) & meets).select(*same, F.col("k").alias("a"), F.col("o_k").alias("b")).distinct()
 
 
 def neighbour_counts(points: DataFrame, radius: float) -> DataFrame:

@@ -94,6 +94,26 @@ def tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
     return good.groupBy("fov").agg(F.round(F.regr_slope("global_x", "x"), 8).alias("slope"), F.round(F.regr_intercept("global_x", "x"), 4).alias("origin"), F.round(F.regr_r2("global_x", "x"), 8).alias("r2"))
 
 
+@query(
+    "run_tile_rotation",
+    f"""{_M}, g AS (SELECT * FROM mols WHERE global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL AND NOT isnan(global_y) AND x IS NOT NULL AND y IS NOT NULL),
+s AS (SELECT run_id, fov, count(*) AS n, atan2(covar_pop(x, global_y) - covar_pop(y, global_x), covar_pop(x, global_x) + covar_pop(y, global_y)) AS a, avg(x) AS mx, avg(y) AS my, avg(global_x) AS mu, avg(global_y) AS mv FROM g GROUP BY run_id, fov)
+SELECT run_id, fov, CAST(n AS BIGINT) AS n, round(a, 6) AS angle, round(mu - cos(a) * mx + sin(a) * my, 3) AS tx, round(mv - sin(a) * mx - cos(a) * my, 3) AS ty FROM s""",
+)
+def run_tile_rotation(spark: SparkSession, d: str) -> DataFrame:
+    made = mo.fit_rotation(molecules(spark, d), ["run_id", "fov"], "x", "y", "global_x", "global_y")
+    return made.select("run_id", "fov", "n", F.round("angle", 6).alias("angle"), F.round("tx", 3).alias("tx"), F.round("ty", 3).alias("ty"))
+
+
+@query(
+    "run_tile_scale_fit",
+    f"{_M} SELECT run_id, fov, round(regr_slope(global_x, x), 8) AS slope, round(regr_intercept(global_x, x), 4) AS origin, round(regr_r2(global_x, x), 8) AS r2 FROM mols WHERE NOT isnan(global_x) AND global_x IS NOT NULL AND x IS NOT NULL GROUP BY run_id, fov",
+)
+def run_tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
+    good = molecules(spark, d).filter("global_x IS NOT NULL AND NOT isnan(global_x) AND x IS NOT NULL")
+    return good.groupBy("run_id", "fov").agg(F.round(F.regr_slope("global_x", "x"), 8).alias("slope"), F.round(F.regr_intercept("global_x", "x"), 4).alias("origin"), F.round(F.regr_r2("global_x", "x"), 8).alias("r2"))
+
+
 @query(
     "plane_label_overlaps",
     f"""{_M}, px AS (SELECT DISTINCT cell_index AS label, z, run_id, fov, floor(x / 64) AS px, floor(y / 64) AS py FROM mols WHERE cell_index > 0 AND fov IS NOT NULL AND z <= 6),

@@ -62,6 +62,43 @@ def global_extent(spark: SparkSession, d: str) -> DataFrame:
     return b.agg(*[F.round(f(c), 6).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
 
 
+_RUN_POS = f"{_GOOD}, pos AS (SELECT run_id, fov, min(global_x) AS fx, min(global_y) AS fy FROM good GROUP BY run_id, fov)"
+_RUN_BOX = f"{_RUN_POS}, box AS (SELECT run_id, fov, fx AS x0, fy AS y0, fx + {WIDTH * PIXEL} AS x1, fy + {WIDTH * PIXEL} AS y1 FROM pos)"
+_TILE = ["run_id", "fov"]
+
+
+def _run_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The corner of each tile of every run, as far as its own molecules show it."""
+    return _good(spark, d).groupBy(*_TILE).agg(F.min("global_x").alias("fx"), F.min("global_y").alias("fy"))
+
+
+@query("run_fov_positions", _RUN_POS + " SELECT run_id, fov, fx, fy FROM pos")
+def run_fov_positions(spark: SparkSession, d: str) -> DataFrame:
+    return _run_positions(spark, d)
+
+
+@query("run_to_global", _RUN_POS + f" SELECT run_id, molecule_id, round(fx + x * {PIXEL}, 6) AS gx, round(fy + y * {PIXEL}, 6) AS gy FROM good JOIN pos USING (run_id, fov)")
+def run_to_global(spark: SparkSession, d: str) -> DataFrame:
+    return sp.to_global(_good(spark, d), _run_positions(spark, d), PIXEL, _TILE).select("run_id", "molecule_id", F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"))
+
+
+@query("run_to_pixels", _RUN_POS + f" SELECT run_id, molecule_id, CAST(trunc((global_x - fx) / {PIXEL}) AS INTEGER) AS px, CAST(trunc((global_y - fy) / {PIXEL}) AS INTEGER) AS py FROM good JOIN pos USING (run_id, fov)")
+def run_to_pixels(spark: SparkSession, d: str) -> DataFrame:
+    renamed = _good(spark, d).withColumnRenamed("global_x", "gx").withColumnRenamed("global_y", "gy")
+    return sp.to_pixels(renamed, _run_positions(spark, d), PIXEL, _TILE).select("run_id", "molecule_id", "px", "py")
+
+
+@query("run_fov_overlaps", _RUN_BOX + " SELECT a.run_id, a.fov AS a, b.fov AS b FROM box a JOIN box b ON a.run_id = b.run_id AND a.fov <> b.fov AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1")
+def run_fov_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return sp.overlapping_boxes(sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"]), "fov", 250.0, ["run_id"])
+
+
+@query("run_global_extent", _RUN_BOX + " SELECT run_id, round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1 FROM box GROUP BY run_id")
+def run_global_extent(spark: SparkSession, d: str) -> DataFrame:
+    b = sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"])
+    return b.groupBy("run_id").agg(*[F.round(f(c), 6).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+
+
 def _points(spark: SparkSession, d: str, *keep: str) -> DataFrame:
     return places(molecules(spark, d), "molecule_id", "global_x", "global_y", *keep)
 

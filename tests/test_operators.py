@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from spotlake.functions import sequences as sq
 from spotlake.operators import decoding as de
 from spotlake.operators import graphs, images, quality, spatial, stats
@@ -238,3 +239,19 @@ def test_knn_whatever_the_blocks(spark):
         got = {(r.query, r.id, r.place) for r in de.knn(df, "id", "v", df.filter("id % 20 = 0"), 5, block).collect()}
         assert got == want
     assert de.knn(df, "id", "v", df.limit(0), 5).collect() == []
+
+
+def test_positions_and_overlaps_stay_within_their_run(spark):
+    pos = spark.createDataFrame([("a", 1, 0.0, 0.0), ("a", 2, 9.0, 0.0), ("b", 1, 5000.0, 0.0), ("b", 2, 5009.0, 0.0), ("c", 1, 5001.0, 0.0)], "run_id string, fov int, fx double, fy double")
+    rows = spark.createDataFrame([("a", 1, 2.0, 0.0), ("b", 1, 2.0, 0.0)], "run_id string, fov int, x double, y double")
+    keys = ["run_id", "fov"]
+    assert {r.run_id: r.gx for r in spatial.to_global(rows, pos, 0.5, keys).collect()} == {"a": 1.0, "b": 5001.0}
+    met = spatial.overlapping_boxes(spatial.boxes(pos, 10.0, 10.0, ["run_id"]), "fov", 50.0, ["run_id"])
+    assert sorted(map(tuple, met.collect())) == [("a", 1, 2), ("a", 2, 1), ("b", 1, 2), ("b", 2, 1)]
+
+
+def test_every_run_has_positions_extents_and_fits(spark, sf):
+    q = entry.queries()
+    runs = {r.run_id for r in spark.read.parquet(f"{sf}/molecules.parquet").select("run_id").distinct().collect()}
+    for name in ("run_fov_positions", "run_global_extent", "run_tile_rotation", "run_tile_scale_fit"):
+        assert {r.run_id for r in q[name](spark, sf).select("run_id").distinct().collect()} == runs
