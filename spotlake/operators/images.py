@@ -93,14 +93,14 @@ def shift_between(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return int(y - n if y > n // 2 else y), int(x - n if x > n // 2 else x)
 
 
-def register(df: DataFrame, key: str, index: str, reference: object) -> DataFrame:
-    """key, index, dy, dx: the shift of every plane to the reference plane of its key; keys without it are left out."""
-    ref = df.filter(F.col(index) == reference).select(key, F.col("data").alias("_ref"))
+def register(df: DataFrame, keys: list[str], index: str, reference: object) -> DataFrame:
+    """keys, index, dy, dx: the shift of every plane to the reference plane of its keys; keys without it are left out."""
+    ref = df.filter(F.col(index) == reference).select(*keys, F.col("data").alias("_ref"))
 
     def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shift_between(plane(x), plane(y)) for x, y in zip(a, b)], columns=["dy", "dx"])
 
-    return df.join(ref, key).select(key, index, F.pandas_udf(run, "struct<dy:int,dx:int>")("_ref", "data").alias("s")).select(key, index, "s.*")
+    return df.join(ref, keys).select(*keys, index, F.pandas_udf(run, "struct<dy:int,dx:int>")("_ref", "data").alias("s")).select(*keys, index, "s.*")
 
 
 def apply_shifts(df: DataFrame, shifts: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,17 +168,18 @@ def regions(df: DataFrame, keys: list[str], least: float) -> DataFrame:
     return df.select(*keys, F.explode(F.pandas_udf(run, kind)("data")).alias("r")).select(*keys, "r.*")
 
 
-def spot_traces(spots: DataFrame, planes: DataFrame, key: str, index: str, reach: int) -> DataFrame:
-    """Mean intensity in a square of *reach* pixels around each spot (key, y, x) in every plane of its key."""
-    grouped = spots.groupBy(key).agg(F.collect_set(F.struct("y", "x")).alias("spots"))  # bounded by the pixels of a plane
+def spot_traces(spots: DataFrame, planes: DataFrame, keys: list[str], index: str, reach: int) -> DataFrame:
+    """Mean intensity in a square of *reach* pixels around each spot (keys, y, x) in every plane of its keys."""
+    grouped = spots.groupBy(*keys).agg(F.collect_set(F.struct("y", "x")).alias("spots"))  # bounded by the pixels of a plane
+    named = [*keys, index]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, i, int(s["y"]), int(s["x"]), float(a[max(s["y"] - reach, 0) : s["y"] + reach + 1, max(s["x"] - reach, 0) : s["x"] + reach + 1].mean())) for k, i, d, ss in zip(b[key], b[index], b["data"], b["spots"]) for a in [plane(d)] for s in ss]
-            yield pd.DataFrame(rows, columns=[key, index, "y", "x", "value"])
+            rows = [(*k, int(s["y"]), int(s["x"]), float(a[max(s["y"] - reach, 0) : s["y"] + reach + 1, max(s["x"] - reach, 0) : s["x"] + reach + 1].mean())) for *k, d, ss in zip(*(b[c] for c in named), b["data"], b["spots"]) for a in [plane(d)] for s in ss]
+            yield pd.DataFrame(rows, columns=[*named, "y", "x", "value"])
 
     types = dict(planes.dtypes)
-    return planes.join(grouped, key).select(key, index, "data", "spots").mapInPandas(run, f"{key} {types[key]}, {index} {types[index]}, y int, x int, value double")
+    return planes.join(grouped, keys).select(*named, "data", "spots").mapInPandas(run, ", ".join(f"{c} {types[c]}" for c in named) + ", y int, x int, value double")
 
 
 def equalize(a: np.ndarray, tiles: int = 4, limit: float = 0.03, levels: int = 64) -> np.ndarray:

@@ -255,3 +255,18 @@ def test_every_run_has_positions_extents_and_fits(spark, sf):
     runs = {r.run_id for r in spark.read.parquet(f"{sf}/molecules.parquet").select("run_id").distinct().collect()}
     for name in ("run_fov_positions", "run_global_extent", "run_tile_rotation", "run_tile_scale_fit"):
         assert {r.run_id for r in q[name](spark, sf).select("run_id").distinct().collect()} == runs
+
+
+def test_images_of_runs_are_apart(spark):
+    pts = spark.createDataFrame([(r, 1, z, x, 5.0) for r, x in (("a", 1.0), ("b", 9.0)) for z in (0.0, 1.5)], "run_id string, fov int, z double, x double, y double")
+    planes = images.rasterize(pts, ["run_id", "fov", "z"], "x", "y", 10.0, 10)
+    shifts = images.register(planes, ["run_id", "fov"], "z", 0.0)
+    assert {(r.run_id, r.z, r.dy, r.dx) for r in shifts.collect()} == {(r, z, 0, 0) for r in "ab" for z in (0.0, 1.5)}
+    spots = images.seeds(planes.filter("z = 0"), ["run_id", "fov"], 2, 2.0)
+    got = images.spot_traces(spots, planes, ["run_id", "fov"], "z", 0).collect()
+    assert {(r.run_id, r.z, r.y, r.x, r.value) for r in got} == {("a", z, 5, 1, 1.0) for z in (0.0, 1.5)} | {("b", z, 5, 9, 1.0) for z in (0.0, 1.5)}
+
+
+def test_image_queries_keep_the_run(spark, sf):
+    names = [n for n in entry.queries() if n.startswith("image_") and n not in entry.oracle_sql()]
+    assert len(names) == 7 and all("run_id" in entry.queries()[n](spark, sf).columns for n in names)
