@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotlake.operators.proximity import UNITS, near_pairs
+from spotlake.session import cut
+
+#: Rows up to which the queries left over in nearest_of_all() are broadcast (some 8 MB in nine cells each).
+FEW = 20_000
 
 
 def _in_tile(df: DataFrame, positions: DataFrame, keys: list[str] | None) -> DataFrame:
@@ -94,6 +98,37 @@ def mutual_nearest(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     return forth.join(back, ["id", "other_id"])
 
 
+def nearest_of_all(queries: DataFrame, points: DataFrame, radius: float) -> DataFrame:
+    """For each query the nearest point of another id, however far: id, other_id (the least of ties), d2 (squared, in whole units, decimal).
+
+    Starts with *radius* and doubles it for the queries that are left until none is, or until it spans all places, so only queries without
+    any other id get no row. Grid cells are the radius wide; each round's result and what is left are cut.
+    """
+    points = cut(points.select(F.col("id").alias("other_id"), F.col("px").alias("ox"), F.col("py").alias("oy")))
+    left = cut(queries.select("id", "px", "py"))
+    ends = lambda a, b: [F.min(a), F.max(a), F.min(b), F.max(b)]
+    (x0, x1, y0, y1), (u0, u1, v0, v1) = left.agg(*ends("px", "py")).first(), points.agg(*ends("ox", "oy")).first()
+    found = left.select("id", F.col("id").alias("other_id"), F.lit(0).cast("decimal(38,0)").alias("d2")).limit(0)
+    if x0 is None or u0 is None:
+        return found
+    span, r = max(x1, u1) - min(x0, u0) + max(y1, v1) - min(y0, v0), max(1, round(radius * UNITS))
+    dx, dy = (F.col(a) - F.col(b) for a, b in (("px", "ox"), ("py", "oy")))
+    while n := left.count():
+        cell = lambda c: F.floor(F.col(c) / F.lit(r)).cast("bigint")  # noqa: B023, E731
+        around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))  # noqa: B023, E731
+        own = left.select("id", "px", "py", around("px").alias("cx")).select("*", around("py").alias("cy"))
+        other = points.select("*", cell("ox").alias("cx"), cell("oy").alias("cy"))
+        wide = (lambda c: c.cast("decimal(19,0)")) if r > 1_000_000_000 else (lambda c: c)  # squares of farther places don't fit 64 bits
+        d2 = wide(dx) * wide(dx) + wide(dy) * wide(dy)
+        close = other.join(F.broadcast(own) if n <= FEW else own, ["cx", "cy"]).filter((F.col("id") != F.col("other_id")) & (d2 <= F.lit(str(r * r)).cast("decimal(38,0)")))
+        best = cut(close.groupBy("id").agg(F.min(F.struct(d2.cast("decimal(38,0)").alias("d2"), "other_id")).alias("m")).select("id", "m.other_id", "m.d2"))
+        found = found.unionByName(best)
+        if r > span:
+            break
+        left, r = cut(left.join(best.select("id"), "id", "left_anti")), 2 * r
+    return found
+
+
 def plane_links(points: DataFrame, planes: list[float], reach: int, radius: float, by: str) -> DataFrame:
     """Edges (a, b) between points of one *by* value in planes at most *reach* apart: each point to its nearest within *radius* in every other plane.
 

@@ -147,6 +147,29 @@ def mutual_nearest(spark: SparkSession, d: str) -> DataFrame:
     return sp.mutual_nearest(pts.filter("id % 2 = 0"), pts.filter("id % 2 = 1"), 5.0)
 
 
+_EACH = f"""{_PTS}, d AS (SELECT a.id, b.id AS other_id, (a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py) AS d2 FROM pt a JOIN pt b ON a.id <> b.id),
+f AS (SELECT id, min({{'d2': d2, 'other_id': other_id}}) AS m FROM d GROUP BY id), n AS (SELECT id, m.other_id AS other_id, round(sqrt(CAST(m.d2 AS DOUBLE)) / 10000, 4) AS distance FROM f)"""
+
+
+def _nearest_each(spark: SparkSession, d: str) -> DataFrame:
+    pts = _points(spark, d)
+    return sp.nearest_of_all(pts, pts, 5.0).select("id", "other_id", F.round(F.sqrt(F.col("d2").cast("double")) / 10000, 4).alias("distance"))
+
+
+@query("nearest_each", _EACH + " SELECT id, other_id, distance FROM n")
+def nearest_each(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest other molecule of every molecule, however far."""
+    return _nearest_each(spark, d)
+
+
+@query("mutual_nearest_each", _EACH + " SELECT a.id, a.other_id, a.distance FROM n a JOIN n b ON b.id = a.other_id AND b.other_id = a.id WHERE a.id < a.other_id")
+def mutual_nearest_each(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of molecules that are each other's nearest."""
+    forth = _nearest_each(spark, d)
+    back = forth.select(F.col("id").alias("other_id"), F.col("other_id").alias("id"))
+    return forth.filter("id < other_id").join(back, ["id", "other_id"])
+
+
 _LINK = (
     _near(1.5)
     + """, l AS (SELECT p.id AS a, q.id AS b, (p.px - q.px) * (p.px - q.px) + (p.py - q.py) * (p.py - q.py) AS d2, q.z AS oz FROM n JOIN pt p ON p.id = n.a JOIN pt q ON q.id = n.b
