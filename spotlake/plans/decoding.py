@@ -103,8 +103,8 @@ def trace_features(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scale_optimization")
 def scale_optimization(spark: SparkSession, d: str) -> DataFrame:
-    """Scales of every bit after each of three rounds of decoding."""
-    return de.optimize_scales(_traces(spark, d).drop("label"), "vec_id", "trace", _codes(spark, d), "label", "bits")
+    """Scales of every bit after each of ten rounds of decoding."""
+    return de.optimize_scales(_traces(spark, d).drop("label"), "vec_id", "trace", _codes(spark, d), "label", "bits", 10)
 
 
 _KNN = f"""WITH {_CODES}, g AS (SELECT a.vec_id AS query, b.vec_id, round(sqrt(sum((a.value - b.value) * (a.value - b.value))), 9) AS dist FROM e a JOIN e b ON a.bit = b.bit WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY 1, 2),
