@@ -69,6 +69,17 @@ def codes_assigned(spark: SparkSession, d: str) -> DataFrame:
     return mo.assign_codes(codes.filter("id != '' AND barcode_id < 100"), "id", codes, 5)
 
 
+@query(
+    "codes_assigned_all",
+    f"""{_C}, {PROBES_SQL}, g AS (SELECT gene, row_number() OVER (ORDER BY gene) AS n FROM (SELECT DISTINCT id AS gene FROM codes WHERE id <> '')),
+c AS (SELECT barcode_id, row_number() OVER (ORDER BY md5('5-' || barcode_id)) AS n FROM codes)
+SELECT barcode_id, coalesce(gene, 'Blank-' || row_number() OVER (PARTITION BY gene IS NULL ORDER BY c.n)) AS gene FROM c LEFT JOIN g USING (n)""",
+)
+def codes_assigned_all(spark: SparkSession, d: str) -> DataFrame:
+    codes = codebook(spark, d)
+    return mo.assign_codes(codes.filter("id != ''"), "id", codes, 5)
+
+
 @query("code_bit_errors", f"{_C} SELECT barcode_id, CAST(bit AS INTEGER) AS bit, CASE WHEN bit < 0 THEN code ELSE xor(code, 1::BIGINT << greatest(bit, 0)) END AS code FROM (SELECT barcode_id, code, unnest(range(-1, 16)) AS bit FROM codes)")
 def code_bit_errors(spark: SparkSession, d: str) -> DataFrame:
     return mo.single_bit_errors(codebook(spark, d), 16)
