@@ -53,6 +53,18 @@ def seq_pack(spark: SparkSession, d: str) -> DataFrame:
     return probes(spark, d).select("probe_id", sq.pack(head).alias("code"), sq.pack(sq.revcomp(head)).alias("rc_code"), sq.pack_base5(head).alias("base5"))
 
 
+_BLOCKS = f"{_P}, b AS (SELECT probe_id, i AS start, substring(seq, i + 1, 27) AS part FROM (SELECT probe_id, seq, unnest(range(0, length(seq), 27)) AS i FROM probe))"
+
+
+@query("seq_pack_blocks", f"{_BLOCKS} SELECT probe_id, CAST(start AS INTEGER) AS start, CAST(length(part) AS INTEGER) AS letters, {_packed('part', 'ACGT', 4)} AS code, {_packed(_rc('part'), 'ACGT', 4)} AS rc_code, {_packed('reverse(lower(part))', 'acgt', 5)} AS base5 FROM b")
+def seq_pack_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The whole sequence of every probe in successive blocks of up to 27 letters, with their start and length."""
+    starts = probes(spark, d).select("probe_id", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - 1, F.lit(27))).alias("start"))
+    part = F.col("part")
+    blocks = starts.select("probe_id", "start", F.substring("seq", F.col("start") + 1, F.lit(27)).alias("part"))
+    return blocks.select("probe_id", "start", F.length(part).alias("letters"), sq.pack(part).alias("code"), sq.pack(sq.revcomp(part)).alias("rc_code"), sq.pack_base5(part).alias("base5"))
+
+
 @query("seq_sites", f"{_P} SELECT probe_id, " + " OR ".join(f"contains(seq, '{s}') OR contains(seq, {_rc(repr(s))})" for s in SITES) + " AS has_site FROM probe")
 def seq_sites(spark: SparkSession, d: str) -> DataFrame:
     return probes(spark, d).select("probe_id", sq.has_site(F.col("seq"), SITES).alias("has_site"))
