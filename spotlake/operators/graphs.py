@@ -9,6 +9,8 @@ from spotlake.session import cut
 
 #: Rounds after which the lineage is cut, and the most rounds that are tried.
 CUT_EVERY, MOST_ROUNDS = 2, 60
+#: Rounds after which the dropped nodes' parts are written as one.
+JOIN_EVERY = 20
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,23 +53,25 @@ def brightest_of_components(points: DataFrame, edges: DataFrame, node: str, rank
 
 
 def drop_most_overlapping(edges: DataFrame) -> DataFrame:
-    """Nodes to drop until no edge is left, taking away in each round every node whose degree is the largest among its neighbours' (the larger id of ties).
+    """Nodes to drop until no edge is left, taking away in each round every node whose degree is the largest among its neighbours' (the larger hash of the id, then the larger id, of ties).
 
-    The rounds drop independent nodes together, so they end quickly; degrees are map-side combined counts.
+    Neighbours that have all other neighbours in common (the nodes of a clique, places that are the same) can't both stay, so all but the least
+    id of them go at once. Rounds go on until no edge is left, and each ends with a checkpoint; degrees are map-side combined counts.
     """
     left = cut(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    dropped = None
-    for _ in range(MOST_ROUNDS):
-        if left.isEmpty():
-            break
+    dropped, rounds = None, 0
+    while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        weight = F.struct("n", "a")
-        other = degree.select(F.col("a").alias("b"), F.struct("n", "a").alias("wb"))
-        worst = both.join(degree.select("a", weight.alias("wa")), "a").join(other, "b").groupBy("a").agg(F.first("wa").alias("wa"), F.max("wb").alias("wb")).filter("wa > wb").select(F.col("a").alias("node"))
+        mark = lambda c: F.xxhash64(c).cast("decimal(38,0)")
+        degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum(mark("b")).alias("h")).select("a", "n", (F.col("h") + mark("a")).alias("h"))
+        weight = F.struct("n", F.xxhash64("a").alias("x"), "a")
+        own = degree.select("a", weight.alias("wa"), F.col("h").alias("ha"))
+        other = degree.select(F.col("a").alias("b"), weight.alias("wb"), F.col("h").alias("hb"))
+        twin = (F.col("ha") == F.col("hb")) & (F.col("wa.n") == F.col("wb.n")) & (F.col("a") > F.col("b"))
+        worst = both.join(own, "a").join(other, "b").groupBy("a").agg(F.first("wa").alias("wa"), F.max("wb").alias("wb"), F.bool_or(twin).alias("twin")).filter("twin OR wa > wb").select(F.col("a").alias("node"))
         gone = cut(worst)
-        dropped = gone if dropped is None else dropped.unionByName(gone)
+        dropped, rounds = gone if dropped is None else dropped.unionByName(gone), rounds + 1
+        if rounds % JOIN_EVERY == 0:
+            dropped = cut(dropped)
         left = cut(left.join(gone, left.a == gone.node, "left_anti").join(gone, F.col("b") == gone.node, "left_anti"))
-    else:
-        raise RuntimeError("overlaps didn't settle")
     return dropped if dropped is not None else edges.select(F.col("a").alias("node")).limit(0)
