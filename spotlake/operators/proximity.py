@@ -128,9 +128,11 @@ def containing_regions(points: DataFrame, regions: DataFrame, plane: str, tile:
 
 
 def overlapping_regions(regions: DataFrame, plane: str, tile: float = 32.0) -> DataFrame:
-    """Pairs (a, b), a < b, of regions of different ids whose insides meet on a plane: edges cross, or a corner of one lies strictly inside the other.
+    """Pairs (a, b), a < b, of regions of different ids whose insides meet on a plane: edges cross, a corner or the middle of a piece of an edge of one lies strictly inside the other, or both have the same border.
 
-    Edges stand in every tile that their box meets, so crossings are an equi-join on plane and tile with an exact test.
+    Edges stand in every tile that their box meets, so crossings are an equi-join on plane and tile with an exact test. An edge's pieces are
+    those between the other's corners on it, so borders along a common line are told apart. Polygons with the same border are one class, by their
+    corners where the border turns.
     """
     size = round(tile * UNITS)
     edges = regions.select("region_id", plane, F.explode("edges").alias("e")).select("region_id", plane, "e.*")
@@ -146,5 +148,22 @@ def overlapping_regions(regions: DataFrame, plane: str, tile: float = 32.0) -> D
     apart = (side("px", "py", "ax", "ay", "bx", "by") * side("qx", "qy", "ax", "ay", "bx", "by") < 0) & (side("ax", "ay", "px", "py", "qx", "qy") * side("bx", "by", "px", "py", "qx", "qy") < 0)
     crossing = spread.join(other, [plane, "cx", "cy"]).filter((F.col("region_id") < F.col("other")) & apart).select(F.col("region_id").alias("a"), F.col("other").alias("b"))
     corners = edges.select(F.col("region_id").alias("id"), F.col("ax").alias("px"), F.col("ay").alias("py"), plane)
-    within = containing_regions(corners, regions, plane, tile).filter(F.col("id") != F.col("region_id"))
-    return crossing.unionByName(within.select(F.least("id", "region_id").alias("a"), F.greatest("id", "region_id").alias("b"))).distinct()
+    # middles have halves: all coordinates are doubled for them
+    twice = regions.select("region_id", plane, F.transform("edges", lambda e: F.struct(*[(2 * e[c]).alias(c) for c in ("ax", "ay", "bx", "by")])).alias("edges"), *[(2 * F.col(c)).alias(c) for c in ("min_x", "min_y", "max_x", "max_y")])
+    on = (side("px", "py", "ax", "ay", "bx", "by") == 0) & F.col("px").between(F.least("ax", "bx"), F.greatest("ax", "bx")) & F.col("py").between(F.least("ay", "by"), F.greatest("ay", "by"))
+    edge = ["region_id", plane, "ax", "ay", "bx", "by"]
+    touching = spread.join(other, [plane, "cx", "cy"]).filter((F.col("region_id") != F.col("other")) & on).select(*edge, "other", F.struct(F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
+    ends = F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))
+    cuts = F.array_sort(F.array_union("ps", ends))  # along a straight edge the order by x, then y, is the order of the points
+    pieces = touching.groupBy(*edge, "other").agg(F.collect_set("p").alias("ps")).select(F.col("region_id").alias("id"), plane, F.explode(F.arrays_zip(F.slice(cuts, 1, F.size(cuts) - 1).alias("s"), F.slice(cuts, 2, F.size(cuts)).alias("t"))).alias("m"))
+    middles = pieces.select("id", plane, (F.col("m.s.x") + F.col("m.t.x")).alias("px"), (F.col("m.s.y") + F.col("m.t.y")).alias("py")).unionByName(
+        edges.select(F.col("region_id").alias("id"), plane, (F.col("ax") + F.col("bx")).alias("px"), (F.col("ay") + F.col("by")).alias("py"))
+    )
+    within = containing_regions(corners, regions, plane, tile).unionByName(containing_regions(middles.distinct(), twice, plane, 2 * tile)).filter(F.col("id") != F.col("region_id"))
+    inside = within.select(F.least("id", "region_id").alias("a"), F.greatest("id", "region_id").alias("b"))
+    real = F.filter("edges", lambda e: (e["ax"] != e["bx"]) | (e["ay"] != e["by"]))
+    turns = F.expr("""array_sort(array_distinct(transform(filter(es, e -> NOT exists(es, f -> f.bx = e.ax AND f.by = e.ay
+        AND (f.bx - f.ax) * (e.by - e.ay) = (f.by - f.ay) * (e.bx - e.ax))), e -> struct(e.ax, e.ay))))""")
+    classes = regions.select("region_id", plane, "area", real.alias("es")).select("region_id", plane, "area", turns.alias("turns"))
+    same = classes.join(classes.withColumnRenamed("region_id", "other"), [plane, "area", "turns"]).filter(F.col("region_id") < F.col("other")).select(F.col("region_id").alias("a"), F.col("other").alias("b"))
+    return crossing.unionByName(inside).unionByName(same).distinct()
