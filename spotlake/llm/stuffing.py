@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -11,13 +12,19 @@ from pyspark.sql import functions as F
 
 from spotlake.session import cut
 
-#: Words of a block; a shorter rest joins the block before.
-BLOCK_WORDS = 60
+#: Words of a block; a rest of less than half of them joins the block before.
+BLOCK_WORDS = 200
 #: A block is prose, and counts for the expected ratios, from this many sentence ends a word.
 PROSE_ENDS = 0.03
-#: A block is stuffed if its normalized ratio and its sentence ends a word are under one of these pairs.
-STUFFED = [(0.93, 0.02), (0.75, 0.045)]
-#: Blocks of prose that a language needs at a length; else those of all languages count.
+#: A block is redundant if its ratio, divided by that of prose of its length and language, is under this; prose and data stay around 1.
+REDUNDANT = 0.93
+#: A redundant block is confirmed as stuffed if it has at most this many sentence ends a word.
+CONFIRMED_ENDS = 0.02
+#: A text of fewer words is a stub and gets no verdict.
+LEAST_WORDS = 30
+#: Length classes for each doubling of the length.
+CLASSES = 8
+#: Blocks of prose that a language needs at a length; else those of all languages at the nearest length count.
 LEAST_PROSE = 30
 #: The share of a document's words in stuffed blocks above which it is a case.
 SHARE = 0.5
@@ -26,6 +33,8 @@ BLOCK_TYPE = "array<struct<script:string,size:int,words:int,ratio:double,ends:do
 
 _WORD = re.compile(r"[^\W_]+")
 _COMMAND = re.compile(r"\\[A-Za-z]+")
+#: Commands whose arguments name files, packages, labels or references; those are no words of the text.
+_NAMES = re.compile(r"\\(?:input|include|subfile|import|includegraphics|usepackage|bibliography|bibliographystyle|label|(?:page|eq|auto|c)?ref|[a-z]*cite[a-z]*)\*?\s*(?:\[[^\]]*\]\s*)*\{[^{}]*\}")
 _URL = re.compile(r"(https?)://[^\s{}<>]*")
 _CJK = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 #: A sentence ends at a mark before a capital letter, a command, an opening or the end of the line.
@@ -36,9 +45,9 @@ _BEGIN, _END = r"\begin{document}", r"\end{document}"
 
 
 def body(text: str) -> str:
-    """The text without preamble, title and displayed formulas."""
+    """The text without preamble, title, displayed formulas and names of files and labels."""
     _, found, rest = text.partition(_BEGIN)
-    return _DISPLAY.sub(" ", _PREAMBLE.sub("", (rest if found else text).replace(_END, "")))
+    return _NAMES.sub(" ", _DISPLAY.sub(" ", _PREAMBLE.sub("", (rest if found else text).replace(_END, ""))))
 
 
 def blocks(text: str) -> list[str]:
@@ -74,7 +83,7 @@ def measure(block: str) -> dict | None:
     plain = " ".join(_WORD.findall(_COMMAND.sub(" ", _URL.sub(r"\1", block)).lower())).encode()
     ratio = (len(zlib.compress(plain, 6)) - 8) / max(1, len(plain))
     script = "cjk" if len(_CJK.findall(block)) * 5 > len(block) else "other"
-    return {"script": script, "size": round(len(plain) ** 0.5), "words": words, "ratio": ratio, "ends": len(_SENTENCE.findall(block)) / words}
+    return {"script": script, "size": round(CLASSES * math.log2(max(1, len(plain)))), "words": words, "ratio": ratio, "ends": len(_SENTENCE.findall(block)) / words}
 
 
 def _measured(texts: pd.Series) -> pd.Series:
@@ -82,7 +91,7 @@ def _measured(texts: pd.Series) -> pd.Series:
 
 
 def block_measures(df: DataFrame, id_column: str, text: str, lang: str) -> DataFrame:
-    """A row for each block: id, lang (two letters or 'xx'), script, size (root of the bytes), words, ratio, ends."""
+    """A row for each block: id, lang (two letters or 'xx'), script, size (class of the length), words, ratio, ends."""
     lang_key = F.regexp_extract(F.lower(F.coalesce(F.col(lang), F.lit(""))), r"^\s*([a-z]{2})(?![a-z])", 1)
     made = df.filter(F.col(text).isNotNull()).select(
         F.col(id_column).alias("id"), F.when(lang_key == "", "xx").otherwise(lang_key).alias("lang"), F.explode(F.pandas_udf(_measured, BLOCK_TYPE)(text)).alias("b")
@@ -91,27 +100,25 @@ def block_measures(df: DataFrame, id_column: str, text: str, lang: str) -> DataF
 
 
 def stuffed_share(df: DataFrame, id_column: str, text: str, lang: str) -> DataFrame:
-    """id, words and stuffed_share (of the words) of every document that has words outside preamble and title.
+    """id, words and stuffed_share (of the words) of every document with at least LEAST_WORDS words outside preamble and title.
 
     Each block's compression ratio is divided by the median ratio of prose blocks of the same length and language in the
-    whole corpus; blocks that are far more redundant than such prose and hardly have sentence ends are stuffed. Block measures are kept in the shared
-    folder (a few numbers for every 60 words), so texts are read once. The table of expected ratios is bounded by languages (two letters),
-    scripts and lengths, whatever the corpus' size, and so is its broadcast. Null, empty and blank texts give no row;
-    whole texts are measured; repeated rows of an id count together.
+    whole corpus. Blocks that are far more redundant than such prose are flagged, and those of them that hardly have sentence ends are stuffed.
+    Block measures are kept in the shared folder (a few numbers for every 200 words), so texts are read once. The tables of expected ratios are
+    bounded by languages (two letters), scripts and length classes (CLASSES for each doubling), whatever the corpus' size, and so are their
+    broadcasts. Null, empty and blank texts and stubs give no row; whole texts are measured; repeated rows of an id count together.
     """
     made = cut(block_measures(df, id_column, text, lang))
     prose = made.filter(F.col("ends") >= PROSE_ENDS)
-    size = F.least(F.col("size"), F.lit(64)).alias("size")
     median = F.percentile_approx("ratio", 0.5, 10_000)
-    by_lang = prose.groupBy("lang", "script", size).agg(median.alias("own"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_PROSE).drop("n")
-    overall = prose.groupBy("script", size).agg(median.alias("any"))
+    by_lang = prose.groupBy("lang", "script", "size").agg(median.alias("own"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_PROSE).drop("n")
+    overall = prose.groupBy("script", "size").agg(median.alias("any")).groupBy("script").agg(F.sort_array(F.collect_list(F.struct("size", "any"))).alias("lengths"))
+    nearest = F.array_min(F.transform("lengths", lambda x: F.struct(F.abs(x["size"] - F.col("size")).alias("off"), x["any"].alias("any"))))
     rated = (
-        made.withColumn("size", size)
-        .join(F.broadcast(by_lang), ["lang", "script", "size"], "left")
-        .join(F.broadcast(overall), ["script", "size"], "left")
-        .withColumn("normal", F.col("ratio") / F.coalesce("own", "any", F.lit(1.0)))
+        made.join(F.broadcast(by_lang), ["lang", "script", "size"], "left")
+        .join(F.broadcast(overall), "script", "left")
+        .withColumn("normal", F.col("ratio") / F.coalesce("own", nearest["any"], F.lit(1.0)))
     )
-    stuffed = F.lit(False)
-    for most, ends in STUFFED:
-        stuffed |= (F.col("normal") < most) & (F.col("ends") <= ends)
-    return rated.groupBy("id").agg(F.sum("words").alias("words"), (F.sum(F.when(stuffed, F.col("words")).otherwise(0)) / F.sum("words")).alias("stuffed_share"))
+    stuffed = (F.col("normal") < REDUNDANT) & (F.col("ends") <= CONFIRMED_ENDS)
+    per_text = rated.groupBy("id").agg(F.sum("words").alias("words"), F.sum(F.when(stuffed, F.col("words")).otherwise(0)).alias("held"))
+    return per_text.filter(F.col("words") >= LEAST_WORDS).select("id", "words", (F.col("held") / F.col("words")).alias("stuffed_share"))

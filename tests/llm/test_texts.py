@@ -138,6 +138,11 @@ def pages():
     made = [(i, prose(12)) for i in range(120)]
     made += [(200, head + tags(60)), (201, links(60)), (202, "% " + keywords(400)), (203, prose(3) + keywords(900))]
     made += [(300, head + table), (301, prose(20) + keywords(60)), (302, None), (303, ""), (304, "  \n"), (305, head + "\\end{document}"), (306, head + "\\input{part}")]
+    glossary = "\n".join(f"\\item[{random.choice(NOUNS)}{i}] {random.choice(NOUNS)} {random.choice(NOUNS)} of the {random.choice(NOUNS)}{random.choice(NOUNS)}" for i in range(70))
+    references = "\n".join(f"\\bibitem{{k{i}}} {random.choice('ABCDEFGH')}. {random.choice(NOUNS).title()}, {random.choice(NOUNS).title()} and {random.choice(NOUNS)} in {random.choice(NOUNS)}s, {random.randint(1950, 2024)}." for i in range(70))
+    files = "".join(f"\\input{{sections/{n}}}\n" for n in NOUNS[:40] * 2)
+    statement = "Data statement. The data of the {} and the code that made the figures may be had from the authors on request.".format(NOUNS[0])
+    made += [(310, head + files), (311, head + glossary), (312, head + references), (313, statement), (314, "\\includegraphics[width=3cm]{fig/sofa} " * 60), (315, "sofa sofa sofa")]
     return made
 
 
@@ -145,7 +150,8 @@ def test_stuffed_pages(spark):
     df = spark.createDataFrame([(i, t, random.choice(["en", "EN", None, "en-XX"]), 1, 2) for i, t in pages()], "doc_id bigint, text string, lang string, size int, id int")
     found = {r.id: r.stuffed_share for r in stuffed_share(df, "doc_id", "text", "lang").collect()}
     assert {i for i, s in found.items() if s > 0.5} == {200, 201, 202, 203}
-    assert found[200] > 0.95 and not {302, 303, 304, 305} & set(found)
+    assert found[200] > 0.95 and not {302, 303, 304, 305, 306, 310, 314, 315} & set(found)
+    assert not any(found.get(i, 0) > 0.2 for i in (300, 301, 311, 312, 313))
     assert stuffed_share(df.limit(0), "doc_id", "text", "lang").collect() == []
 
 
@@ -154,8 +160,9 @@ def test_labels_agree_with_the_found_pages(spark):
     votes = pd.read_parquet(f"{d}/doc_labels.parquet").groupby("doc_id").label.agg(lambda s: s.value_counts().index[0] if s.value_counts().iloc[0] * 2 > len(s) else "tie")
     found = {r.doc_id for r in p9_found(spark, d).collect()}
     said = votes[votes.isin(["stuffed", "article"])]
-    agree = [(label == "stuffed") == (i in found) for i, label in said.items()]
-    assert np.mean(agree) > 0.95  # raters err
+    right = {i for i, label in said.items() if label == "stuffed"}
+    mine = found & set(said.index)
+    assert len(mine & right) / len(right) > 0.9 and len(mine & right) / len(mine) > 0.85  # raters err
 
 
 def test_blocks_cover_all_words():
