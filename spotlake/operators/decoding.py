@@ -9,10 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlake.session import cut
+from spotlake.session import cut, measured
 
-#: Codewords are sent to every task only up to this many; a codebook is fixed by the chemistry.
-MOST_CODES = 100_000
+#: Codewords that are sent to every task at once; a larger codebook takes several passes over the traces.
+CODES_AT_ONCE = 100_000
+#: Codewords that are broadcast as one array (some 0.5 kB each).
+CODES_IN_ROW = 10_000
 
 
 def unit(c: Column) -> Column:
@@ -45,7 +47,12 @@ def rescale(df: DataFrame, key: str, trace: str, factors: DataFrame) -> DataFram
 
 
 def nearest_code_sql(df: DataFrame, key: str, trace: str, codes: DataFrame, code_key: str, code: str) -> DataFrame:
-    """key, code_key, dist: the nearest unit codeword of each unit trace (the least key of ties), by built-in expressions over one broadcast array of codes."""
+    """key, code_key, dist: the nearest unit codeword of each unit trace (the least key of ties), by built-in expressions over one broadcast array of codes.
+
+    A codebook of more than CODES_IN_ROW codes goes to nearest_code() instead, whose passes are bounded.
+    """
+    if codes.count() > CODES_IN_ROW:
+        return nearest_code(df, key, trace, codes, code_key, code)
     table = codes.agg(F.array_sort(F.collect_list(F.struct(F.col(code_key).alias("k"), unit(F.col(code)).alias("v")))).alias("_codes"))
     gap = lambda v: F.aggregate(F.zip_with(F.col("_t"), v, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
     best = F.array_min(F.transform("_codes", lambda c: F.struct(F.round(F.sqrt(gap(c["v"])), 9).alias("dist"), c["k"].alias("k"))))
@@ -53,13 +60,27 @@ def nearest_code_sql(df: DataFrame, key: str, trace: str, codes: DataFrame, code
 
 
 def nearest_code(df: DataFrame, key: str, trace: str, codes: DataFrame, code_key: str, code: str, most: float | None = None) -> DataFrame:
-    """The same by one matrix product for each Arrow batch; code_key is -1 beyond the distance *most*.
+    """The same by one matrix product for each Arrow batch; code_key is -1 beyond the distance *most*. Keys are those of single rows.
 
-    The codebook is read to the driver to be shipped with the function; its size is checked against MOST_CODES.
+    The codebook is shipped with the function in parts of about CODES_AT_ONCE codes, one pass over the traces each; the nearest of the
+    parts' nearest codes is the nearest of all.
     """
-    rows = codes.select(code_key, code).orderBy(code_key).limit(MOST_CODES + 1).collect()
-    if len(rows) > MOST_CODES:
-        raise ValueError("too many codewords to send to every task")
+    parts = max(1, -(-codes.count() // CODES_AT_ONCE))
+    if parts > 1:
+        hashed = [codes.filter(F.pmod(F.xxhash64(code_key), F.lit(parts)) == i) for i in range(parts)]
+        each = [_nearest_of_part(df, key, trace, part, code_key, code, None) for part in hashed]
+        every = each[0]
+        for other in each[1:]:
+            every = every.unionByName(other)
+        best = every.groupBy(key).agg(F.min(F.struct("dist", code_key)).alias("m")).select(key, F.col(f"m.{code_key}").alias(code_key), "m.dist")
+        return best if most is None else best.withColumn(code_key, F.when(F.col("dist") > most, F.lit(-1)).otherwise(F.col(code_key)).cast("bigint"))
+    return _nearest_of_part(df, key, trace, codes, code_key, code, most)
+
+
+def _nearest_of_part(df: DataFrame, key: str, trace: str, codes: DataFrame, code_key: str, code: str, most: float | None) -> DataFrame:
+    rows = codes.select(code_key, code).orderBy(code_key).collect()  # about CODES_AT_ONCE at most
+    if not rows:
+        return df.select(key, F.lit(None).cast("bigint").alias(code_key), F.lit(None).cast("double").alias("dist")).limit(0)
     names = np.array([r[0] for r in rows])
     words = np.array([r[1] for r in rows], dtype=float)
     words /= np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-300)
@@ -105,7 +126,7 @@ def optimize_scales(df: DataFrame, key: str, trace: str, codes: DataFrame, code_
     for i in range(1, rounds + 1):
         scaled = rescale(df, key, trace, now)
         found = nearest_code(scaled, key, trace, codes, code_key, bits, most).filter(F.col(code_key) != -1)
-        decoded = found.join(scaled.select(key, trace), key).join(F.broadcast(codes.select(code_key, bits)), code_key)
+        decoded = found.join(scaled.select(key, trace), key).join(measured(codes.select(code_key, bits)), code_key)
         factor = refactors(decoded, code_key, trace, bits)
         now = cut(now.join(factor, "bit", "left").select("bit", (F.col("scale") * F.coalesce("refactor", F.lit(1.0))).alias("scale"), "background"))
         history = history.unionByName(now.select(F.lit(i).alias("round"), "bit", "scale"))

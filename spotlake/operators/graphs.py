@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from spotlake.session import cut
 
-#: Rounds after which the lineage is cut, and the most rounds that are tried.
-CUT_EVERY, MOST_ROUNDS = 2, 60
 #: Rounds after which the dropped nodes' parts are written as one.
 JOIN_EVERY = 20
 
@@ -23,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     loops = edges.filter("a = b").select(F.col("a").alias("node"))
     now = cut(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
-    for i in range(MOST_ROUNDS):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,8 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError("components didn't settle")
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     found = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
     rest = loops.distinct().join(found.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))

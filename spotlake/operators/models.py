@@ -107,13 +107,12 @@ def fit_rotation(df: DataFrame, key: str | list[str], x: str, y: str, u: str, v:
     return turned.select(*keys, "n", "angle", (F.col(f"m{u}") - cos * F.col(f"m{x}") + sin * F.col(f"m{y}")).alias("tx"), (F.col(f"m{v}") - sin * F.col(f"m{x}") - cos * F.col(f"m{y}")).alias("ty"))
 
 
-def label_overlaps(pixels: DataFrame, planes: list[float], least: float) -> DataFrame:
-    """label, z, other: for each label of a plane its best match in the next plane, by f0 + f1 of the shares of common pixels, both over *least* (the least label of ties).
+def label_overlaps(pixels: DataFrame, step: float, least: float) -> DataFrame:
+    """label, z, other: for each label of a plane its best match in the plane *step* above, by f0 + f1 of the shares of common pixels, both over *least* (the least label of ties).
 
-    pixels: label, z, place (any pixel key), without repeats.
+    pixels: label, z, place (any pixel key), without repeats. Planes are counted in steps of *step* from 0, so there may be any number of them.
     """
-    number = F.array_position(F.array(*[F.lit(float(p)) for p in planes]), F.col("z"))
-    placed = pixels.withColumn("_p", number).filter("_p > 0")
+    placed = pixels.filter("z IS NOT NULL AND NOT isnan(z)").withColumn("_p", F.round(F.col("z") / step).cast("bigint"))
     size = placed.groupBy("label", "_p").agg(F.count(F.lit(1)).alias("size"))
     up = placed.select(F.col("label").alias("other"), (F.col("_p") - 1).alias("_p"), "place")
     common = placed.join(up, ["_p", "place"]).groupBy("label", "_p", "z", "other").agg(F.count(F.lit(1)).alias("both"))

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from spotlake.functions.sequences import gc_share, kmers, melting_temperature, revcomp
 from spotlake.operators.folds import keep_in_order, no_overlap
 from spotlake.operators.ranking import row_numbers
+from spotlake.session import measured
 
 #: Letters of a stretch whose windows are cut out together; substring walks a text from its start, so stretches keep it short.
 STRETCH = 256
+#: Codes up to which a codebook is broadcast for its pairs.
+MOST_CODES = 10_000
 
 
 def windows(df: DataFrame, sequence: str, length: int, step: int = 1, *keep: str, spread: bool = False) -> DataFrame:
@@ -122,7 +125,7 @@ def transcript_of_gene(df: DataFrame, which: str) -> DataFrame:
 
 
 def hamming_pairs(codebook: DataFrame) -> DataFrame:
-    """Bits in which every two codes differ: a, b (a < b), distance. The codebook is fixed by the chemistry, so the pairs are bounded."""
+    """Bits in which every two codes differ: a, b (a < b), distance. A codebook is fixed by the chemistry; every pair of it is the result, and it is broadcast up to MOST_CODES codes."""
     a = codebook.select(F.col("barcode_id").alias("a"), F.col("code").alias("ca"))
     b = codebook.select(F.col("barcode_id").alias("b"), F.col("code").alias("cb"))
-    return a.join(F.broadcast(b), F.col("a") < F.col("b")).select("a", "b", F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))).alias("distance"))
+    return a.join(measured(b, MOST_CODES), F.col("a") < F.col("b")).select("a", "b", F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))).alias("distance"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def with_code(molecules: DataFrame, codebook: DataFrame, *columns: str) -> DataFrame:
     """Molecules with columns of their code. The codebook has one row a code and is fixed by the chemistry, so it is broadcast."""
-    return molecules.join(F.broadcast(codebook.select("barcode_id", *columns)), "barcode_id")
+    return molecules.join(codebook.select("barcode_id", *columns), "barcode_id")
 
 
 def crop(molecules: DataFrame, width: int, height: int, margin: float) -> DataFrame:
@@ -23,7 +23,7 @@ def filter_molecules(molecules: DataFrame, codebook: DataFrame, min_area: int, c
     if min_score is not None:
         out = out.filter((F.col(score) >= min_score) & ~F.isnan(score))
     if coding_only:
-        out = out.join(F.broadcast(codebook.filter(~F.col("is_blank")).select("barcode_id")), "barcode_id", "left_semi")
+        out = out.join(codebook.filter(~F.col("is_blank")).select("barcode_id"), "barcode_id", "left_semi")
     return out
 
 
@@ -103,7 +103,7 @@ def best_threshold(fractions: DataFrame, target: float) -> DataFrame:
 
 
 def keep_good_bins(molecules: DataFrame, fractions: DataFrame, axes: dict[str, Column], threshold: float) -> DataFrame:
-    """Molecules whose bin has a blank fraction under *threshold*. The bins are bounded by their layout and broadcast."""
+    """Molecules whose bin has a blank fraction under *threshold*. The bins are bounded by their layout."""
     good = fractions.filter(F.col("fraction") < threshold).select(*axes)
     made = molecules.filter((F.col("magnitude") > 0) & ~F.isnan("magnitude") & ~F.isnan("distance")).select("*", *[c.alias(n) for n, c in axes.items()])
-    return made.join(F.broadcast(good), list(axes), "left_semi").drop(*axes)
+    return made.join(good, list(axes), "left_semi").drop(*axes)

@@ -12,20 +12,15 @@ from spotlake.session import cut
 FEW = 20_000
 
 
-def _in_tile(df: DataFrame, positions: DataFrame, keys: list[str] | None) -> DataFrame:
-    """Rows with the position of their tile. Tiles of one run (by fov) are broadcast; those of many runs grow with the runs, so Spark chooses."""
-    return df.join(positions, keys) if keys else df.join(F.broadcast(positions), "fov")
+def to_global(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str]) -> DataFrame:
+    """gx, gy of pixel positions: the tile's position plus pixels in micrometres. Positions have one row a tile, named by *keys*; tiles grow with the runs, so Spark chooses the join."""
+    return df.join(positions, keys).withColumn("gx", F.col("fx") + F.col("x") * pixel).withColumn("gy", F.col("fy") + F.col("y") * pixel)
 
 
-def to_global(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str] | None = None) -> DataFrame:
-    """gx, gy of pixel positions: the tile's position plus pixels in micrometres. Positions have one row a tile: a fov, or the *keys*."""
-    return _in_tile(df, positions, keys).withColumn("gx", F.col("fx") + F.col("x") * pixel).withColumn("gy", F.col("fy") + F.col("y") * pixel)
-
-
-def to_pixels(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str] | None = None) -> DataFrame:
+def to_pixels(df: DataFrame, positions: DataFrame, pixel: float, keys: list[str]) -> DataFrame:
     """px, py: the inverse, cut toward zero."""
     inverse = lambda g, o: ((F.col(g) - F.col(o)) / pixel).cast("int")
-    return _in_tile(df, positions, keys).withColumn("px", inverse("gx", "fx")).withColumn("py", inverse("gy", "fy"))
+    return df.join(positions, keys).withColumn("px", inverse("gx", "fx")).withColumn("py", inverse("gy", "fy"))
 
 
 def z_of_plane(plane: Column, planes: list[float]) -> Column:
@@ -129,13 +124,13 @@ def nearest_of_all(queries: DataFrame, points: DataFrame, radius: float) -> Data
     return found
 
 
-def plane_links(points: DataFrame, planes: list[float], reach: int, radius: float, by: str) -> DataFrame:
-    """Edges (a, b) between points of one *by* value in planes at most *reach* apart: each point to its nearest within *radius* in every other plane.
+def plane_links(points: DataFrame, reach: float, radius: float, by: str) -> DataFrame:
+    """Edges (a, b) between points of one *by* value in planes at most *reach* micrometres apart: each point to its nearest within *radius* in every other plane.
 
-    points: id, px, py, z, and *by*. Grid cells are the radius wide, so all candidates come from one equi-join.
+    points: id, px, py, z, and *by*. A plane is any z there is; points without z have no links. Grid cells are the radius wide, so all
+    candidates come from one equi-join.
     """
-    number = F.array_position(F.array(*[F.lit(float(p)) for p in planes]), F.col("z"))
-    placed = points.withColumn("_p", number).filter("_p > 0")
+    placed = points.withColumn("_p", F.col("z")).filter("_p IS NOT NULL AND NOT isnan(_p)")
     r = round(radius * UNITS)
     cell = lambda c: F.floor(F.col(c) / F.lit(r)).cast("bigint")
     around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
@@ -143,7 +138,7 @@ def plane_links(points: DataFrame, planes: list[float], reach: int, radius: floa
     other = placed.select(F.col("id").alias("oid"), F.col("px").alias("ox"), F.col("py").alias("oy"), F.col("_p").alias("op"), by, cell("px").alias("cx"), cell("py").alias("cy"))
     dx, dy = F.col("px") - F.col("ox"), F.col("py") - F.col("oy")
     d2 = dx * dx + dy * dy
-    close = own.join(other, [by, "cx", "cy"]).filter((F.col("_p") != F.col("op")) & (F.abs(F.col("_p") - F.col("op")) <= reach) & (d2 <= r * r))
+    close = own.join(other, [by, "cx", "cy"]).filter((F.col("_p") != F.col("op")) & (F.round(F.abs(F.col("_p") - F.col("op")), 6) <= reach) & (d2 <= r * r))
     best = close.groupBy("id", "op").agg(F.min(F.struct(d2.alias("d2"), "oid")).alias("m"))
     return best.select(F.least("id", "m.oid").alias("a"), F.greatest("id", "m.oid").alias("b")).distinct()
 

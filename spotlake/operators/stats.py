@@ -77,7 +77,7 @@ def rank_sum_against_controls(df: DataFrame, key: str, group: str, value: str, c
             F.sum(F.col("n") * (F.col("below") + 0.5 * F.col("c"))).alias("u"),
             F.sum(cube(both.cast("double")) - cube(F.col("c").cast("double"))).alias("ties1"),
         )
-        .join(F.broadcast(controls), "key")
+        .join(controls, "key")
     )
     n1, n0, total = F.col("n1"), F.col("n0"), F.col("n1") + F.col("n0")
     mean = n1 * n0 / 2

@@ -77,7 +77,7 @@ _WITH_BITS = f"WITH {_CODES}, b AS (SELECT label, CAST(unnest(range(64)) AS INTE
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    return _traces(spark, d).join(F.broadcast(_codes(spark, d).select("label", "bits")), "label")
+    return _traces(spark, d).join(_codes(spark, d).select("label", "bits"), "label")
 
 
 @query("trace_refactors", _WITH_BITS + ", p AS (SELECT bit, avg(mm) AS mm FROM (SELECT label, bit, avg(x) AS mm FROM u JOIN b USING (label, bit) WHERE on_bit = 1 GROUP BY 1, 2) GROUP BY bit) SELECT bit, round(mm / (SELECT avg(mm) FROM p), 6) AS refactor FROM p")

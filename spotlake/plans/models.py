@@ -15,7 +15,7 @@ from spotlake.plans import query
 from spotlake.plans.decoding import _CODES as _TRACES_SQL
 from spotlake.plans.decoding import _traces
 from spotlake.plans.probes import FORWARD, REVERSE, _rc
-from spotlake.plans.spatial import PLANES, _links, _near, _points
+from spotlake.plans.spatial import PLANE_STEP, _links, _near, _points
 from spotlake.session import table
 from spotlake.sources.views import CODES_SQL, MOLS_SQL, PROBES_SQL, TRANSCRIPTS_SQL, codebook, molecules, probes, transcripts
 
@@ -58,24 +58,14 @@ def codes_kept(spark: SparkSession, d: str) -> DataFrame:
     return mo.choose_codes(codebook(spark, d), 4)
 
 
-@query(
-    "codes_assigned",
-    f"""{_C}, {PROBES_SQL}, g AS (SELECT gene, row_number() OVER (ORDER BY gene) AS n FROM (SELECT DISTINCT id AS gene FROM codes WHERE id <> '' AND barcode_id < 100)),
+_ASSIGNED = f"""{_C}, {PROBES_SQL}, g AS (SELECT gene, row_number() OVER (ORDER BY gene) AS n FROM (SELECT DISTINCT id AS gene FROM codes WHERE id <> '')),
 c AS (SELECT barcode_id, row_number() OVER (ORDER BY md5('5-' || barcode_id)) AS n FROM codes)
-SELECT barcode_id, coalesce(gene, 'Blank-' || row_number() OVER (PARTITION BY gene IS NULL ORDER BY c.n)) AS gene FROM c LEFT JOIN g USING (n)""",
-)
-def codes_assigned(spark: SparkSession, d: str) -> DataFrame:
-    codes = codebook(spark, d)
-    return mo.assign_codes(codes.filter("id != '' AND barcode_id < 100"), "id", codes, 5)
+SELECT barcode_id, coalesce(gene, 'Blank-' || row_number() OVER (PARTITION BY gene IS NULL ORDER BY c.n)) AS gene FROM c LEFT JOIN g USING (n)"""
 
 
-@query(
-    "codes_assigned_all",
-    f"""{_C}, {PROBES_SQL}, g AS (SELECT gene, row_number() OVER (ORDER BY gene) AS n FROM (SELECT DISTINCT id AS gene FROM codes WHERE id <> '')),
-c AS (SELECT barcode_id, row_number() OVER (ORDER BY md5('5-' || barcode_id)) AS n FROM codes)
-SELECT barcode_id, coalesce(gene, 'Blank-' || row_number() OVER (PARTITION BY gene IS NULL ORDER BY c.n)) AS gene FROM c LEFT JOIN g USING (n)""",
-)
-def codes_assigned_all(spark: SparkSession, d: str) -> DataFrame:
+@query("codes_assigned", _ASSIGNED)
+@query("codes_assigned_all", _ASSIGNED)
+def codes_assigned(spark: SparkSession, d: str) -> DataFrame:
     codes = codebook(spark, d)
     return mo.assign_codes(codes.filter("id != ''"), "id", codes, 5)
 
@@ -85,49 +75,35 @@ def code_bit_errors(spark: SparkSession, d: str) -> DataFrame:
     return mo.single_bit_errors(codebook(spark, d), 16)
 
 
-@query(
-    "tile_rotation",
-    f"""{_M}, g AS (SELECT * FROM mols WHERE run_id = 'run-00000' AND global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL AND NOT isnan(global_y) AND x IS NOT NULL AND y IS NOT NULL),
-s AS (SELECT fov, count(*) AS n, atan2(covar_pop(x, global_y) - covar_pop(y, global_x), covar_pop(x, global_x) + covar_pop(y, global_y)) AS a, avg(x) AS mx, avg(y) AS my, avg(global_x) AS mu, avg(global_y) AS mv FROM g GROUP BY fov)
-SELECT fov, CAST(n AS BIGINT) AS n, round(a, 6) AS angle, round(mu - cos(a) * mx + sin(a) * my, 3) AS tx, round(mv - sin(a) * mx - cos(a) * my, 3) AS ty FROM s""",
-)
-def tile_rotation(spark: SparkSession, d: str) -> DataFrame:
-    made = mo.fit_rotation(molecules(spark, d).filter("run_id = 'run-00000'"), "fov", "x", "y", "global_x", "global_y")
-    return made.select("fov", "n", F.round("angle", 6).alias("angle"), F.round("tx", 3).alias("tx"), F.round("ty", 3).alias("ty"))
-
-
-@query(
-    "tile_scale_fit",
-    f"{_M} SELECT fov, round(regr_slope(global_x, x), 8) AS slope, round(regr_intercept(global_x, x), 4) AS origin, round(regr_r2(global_x, x), 8) AS r2 FROM mols WHERE run_id = 'run-00000' AND NOT isnan(global_x) AND global_x IS NOT NULL AND x IS NOT NULL GROUP BY fov",
-)
-def tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
-    good = molecules(spark, d).filter("run_id = 'run-00000' AND global_x IS NOT NULL AND NOT isnan(global_x) AND x IS NOT NULL")
-    return good.groupBy("fov").agg(F.round(F.regr_slope("global_x", "x"), 8).alias("slope"), F.round(F.regr_intercept("global_x", "x"), 4).alias("origin"), F.round(F.regr_r2("global_x", "x"), 8).alias("r2"))
-
-
-@query(
-    "run_tile_rotation",
+_TILE_ROTATION = (
     f"""{_M}, g AS (SELECT * FROM mols WHERE global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL AND NOT isnan(global_y) AND x IS NOT NULL AND y IS NOT NULL),
 s AS (SELECT run_id, fov, count(*) AS n, atan2(covar_pop(x, global_y) - covar_pop(y, global_x), covar_pop(x, global_x) + covar_pop(y, global_y)) AS a, avg(x) AS mx, avg(y) AS my, avg(global_x) AS mu, avg(global_y) AS mv FROM g GROUP BY run_id, fov)
-SELECT run_id, fov, CAST(n AS BIGINT) AS n, round(a, 6) AS angle, round(mu - cos(a) * mx + sin(a) * my, 3) AS tx, round(mv - sin(a) * mx - cos(a) * my, 3) AS ty FROM s""",
+SELECT run_id, fov, CAST(n AS BIGINT) AS n, round(a, 6) AS angle, round(mu - cos(a) * mx + sin(a) * my, 3) AS tx, round(mv - sin(a) * mx - cos(a) * my, 3) AS ty FROM s"""
 )
-def run_tile_rotation(spark: SparkSession, d: str) -> DataFrame:
+
+
+@query("tile_rotation", _TILE_ROTATION)
+@query("run_tile_rotation", _TILE_ROTATION)
+def tile_rotation(spark: SparkSession, d: str) -> DataFrame:
     made = mo.fit_rotation(molecules(spark, d), ["run_id", "fov"], "x", "y", "global_x", "global_y")
     return made.select("run_id", "fov", "n", F.round("angle", 6).alias("angle"), F.round("tx", 3).alias("tx"), F.round("ty", 3).alias("ty"))
 
 
-@query(
-    "run_tile_scale_fit",
-    f"{_M} SELECT run_id, fov, round(regr_slope(global_x, x), 8) AS slope, round(regr_intercept(global_x, x), 4) AS origin, round(regr_r2(global_x, x), 8) AS r2 FROM mols WHERE NOT isnan(global_x) AND global_x IS NOT NULL AND x IS NOT NULL GROUP BY run_id, fov",
+_TILE_SCALE_FIT = (
+    f"{_M} SELECT run_id, fov, round(regr_slope(global_x, x), 8) AS slope, round(regr_intercept(global_x, x), 4) AS origin, round(regr_r2(global_x, x), 8) AS r2 FROM mols WHERE NOT isnan(global_x) AND global_x IS NOT NULL AND x IS NOT NULL GROUP BY run_id, fov"
 )
-def run_tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
+
+
+@query("tile_scale_fit", _TILE_SCALE_FIT)
+@query("run_tile_scale_fit", _TILE_SCALE_FIT)
+def tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
     good = molecules(spark, d).filter("global_x IS NOT NULL AND NOT isnan(global_x) AND x IS NOT NULL")
     return good.groupBy("run_id", "fov").agg(F.round(F.regr_slope("global_x", "x"), 8).alias("slope"), F.round(F.regr_intercept("global_x", "x"), 4).alias("origin"), F.round(F.regr_r2("global_x", "x"), 8).alias("r2"))
 
 
 @query(
     "plane_label_overlaps",
-    f"""{_M}, px AS (SELECT DISTINCT cell_index AS label, z, run_id, fov, floor(x / 64) AS px, floor(y / 64) AS py FROM mols WHERE cell_index > 0 AND fov IS NOT NULL AND z <= 6),
+    f"""{_M}, px AS (SELECT DISTINCT cell_index AS label, z, run_id, fov, floor(x / 64) AS px, floor(y / 64) AS py FROM mols WHERE cell_index > 0 AND fov IS NOT NULL),
 s AS (SELECT label, z, count(*) AS size FROM px GROUP BY 1, 2), c AS (SELECT a.label, a.z, b.label AS other, b.z AS oz, count(*) AS both_n FROM px a JOIN px b ON b.z = a.z + 1.5 AND a.run_id = b.run_id AND a.fov = b.fov AND a.px = b.px AND a.py = b.py GROUP BY 1, 2, 3, 4),
 f AS (SELECT c.label, c.z, c.other, both_n / s.size AS f0, both_n / o.size AS f1 FROM c JOIN s ON s.label = c.label AND s.z = c.z JOIN s o ON o.label = c.other AND o.z = c.oz)
 SELECT label, z, other FROM (SELECT *, row_number() OVER (PARTITION BY label, z ORDER BY round(f0 + f1, 9) DESC, other) AS k FROM f WHERE f0 > 0.2 AND f1 > 0.2) WHERE k = 1""",
@@ -135,7 +111,7 @@ SELECT label, z, other FROM (SELECT *, row_number() OVER (PARTITION BY label, z
 def plane_label_overlaps(spark: SparkSession, d: str) -> DataFrame:
     place = F.struct("run_id", "fov", F.floor(F.col("x") / 64).alias("px"), F.floor(F.col("y") / 64).alias("py"))
     pixels = molecules(spark, d).filter("cell_index > 0 AND fov IS NOT NULL").select(F.col("cell_index").alias("label"), "z", place.alias("place")).distinct()
-    return mo.label_overlaps(pixels, PLANES, 0.2)
+    return mo.label_overlaps(pixels, PLANE_STEP, 0.2)
 
 
 @query(

@@ -47,17 +47,15 @@ def _packed(s: str, alphabet: str, base: int) -> str:
     return f"CAST(list_reduce(list_prepend(0::BIGINT, list_transform(string_split({s}, ''), lambda c: CAST(strpos('{alphabet}', c) - {1 if base == 4 else 0} AS BIGINT))), lambda a, b: a * {base} + b) AS BIGINT)"
 
 
-@query("seq_pack", f"{_P} SELECT probe_id, {_packed('left(seq, 17)', 'ACGT', 4)} AS code, {_packed(_rc('left(seq, 17)'), 'ACGT', 4)} AS rc_code, {_packed('reverse(left(lower(seq), 17))', 'acgt', 5)} AS base5 FROM probe")
-def seq_pack(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substring("seq", 1, 17)
-    return probes(spark, d).select("probe_id", sq.pack(head).alias("code"), sq.pack(sq.revcomp(head)).alias("rc_code"), sq.pack_base5(head).alias("base5"))
+_BLOCKS = f"{_P}, b AS (SELECT probe_id, i AS start, substring(seq, i + 1, 27) AS part FROM (SELECT probe_id, seq, unnest(range(0, length(seq), 27)) AS i FROM probe))"
 
 
-_BLOCKS = f"{_P}, b AS (SELECT probe_id, i AS start, substring(seq, i + 1, 27) AS part FROM (SELECT probe_id, seq, unnest(range(0, length(seq), 27)) AS i FROM probe))"
+_PACKED = f"{_BLOCKS} SELECT probe_id, CAST(start AS INTEGER) AS start, CAST(length(part) AS INTEGER) AS letters, {_packed('part', 'ACGT', 4)} AS code, {_packed(_rc('part'), 'ACGT', 4)} AS rc_code, {_packed('reverse(lower(part))', 'acgt', 5)} AS base5 FROM b"
 
 
-@query("seq_pack_blocks", f"{_BLOCKS} SELECT probe_id, CAST(start AS INTEGER) AS start, CAST(length(part) AS INTEGER) AS letters, {_packed('part', 'ACGT', 4)} AS code, {_packed(_rc('part'), 'ACGT', 4)} AS rc_code, {_packed('reverse(lower(part))', 'acgt', 5)} AS base5 FROM b")
-def seq_pack_blocks(spark: SparkSession, d: str) -> DataFrame:
+@query("seq_pack", _PACKED)
+@query("seq_pack_blocks", _PACKED)
+def seq_pack(spark: SparkSession, d: str) -> DataFrame:
     """The whole sequence of every probe in successive blocks of up to 27 letters, with their start and length."""
     starts = probes(spark, d).select("probe_id", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - 1, F.lit(27))).alias("start"))
     part = F.col("part")

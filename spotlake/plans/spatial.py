@@ -12,54 +12,18 @@ from spotlake.plans.quality import PIXEL, WIDTH
 from spotlake.session import table
 from spotlake.sources.views import MOLS_SQL, cells, molecules
 
-PLANES = [0.0, 1.5, 3.0, 4.5, 6.0]
+#: Micrometres between planes.
+PLANE_STEP = 1.5
 
 _GOOD = f"WITH {MOLS_SQL}, good AS (SELECT * FROM mols WHERE fov IS NOT NULL AND global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL)"
-_POS = f"{_GOOD}, pos AS (SELECT fov, min(global_x) AS fx, min(global_y) AS fy FROM good WHERE run_id = 'run-00000' GROUP BY fov)"
-
 
 def _good(spark: SparkSession, d: str) -> DataFrame:
     return molecules(spark, d).filter("fov IS NOT NULL AND global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL")
 
 
-def _positions(spark: SparkSession, d: str) -> DataFrame:
-    """The corner of each tile, as far as the first run's molecules show it."""
-    return _good(spark, d).filter("run_id = 'run-00000'").groupBy("fov").agg(F.min("global_x").alias("fx"), F.min("global_y").alias("fy"))
-
-
-@query("fov_positions", _POS + " SELECT fov, fx, fy FROM pos")
-def fov_positions(spark: SparkSession, d: str) -> DataFrame:
-    return _positions(spark, d)
-
-
-@query("to_global", _POS + f" SELECT molecule_id, round(fx + x * {PIXEL}, 6) AS gx, round(fy + y * {PIXEL}, 6) AS gy FROM good JOIN pos USING (fov)")
-def to_global(spark: SparkSession, d: str) -> DataFrame:
-    return sp.to_global(_good(spark, d), _positions(spark, d), PIXEL).select("molecule_id", F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"))
-
-
-@query("to_pixels", _POS + f" SELECT molecule_id, CAST(trunc((global_x - fx) / {PIXEL}) AS INTEGER) AS px, CAST(trunc((global_y - fy) / {PIXEL}) AS INTEGER) AS py FROM good JOIN pos USING (fov)")
-def to_pixels(spark: SparkSession, d: str) -> DataFrame:
-    renamed = _good(spark, d).withColumnRenamed("global_x", "gx").withColumnRenamed("global_y", "gy")
-    return sp.to_pixels(renamed, _positions(spark, d), PIXEL).select("molecule_id", "px", "py")
-
-
 @query("z_interpolated", f"WITH {MOLS_SQL} SELECT molecule_id, round(1.5 * greatest(0.0, least(4.0, area / 5.0)), 6) AS zi FROM mols")
 def z_interpolated(spark: SparkSession, d: str) -> DataFrame:
-    return molecules(spark, d).select("molecule_id", F.round(sp.z_of_plane(F.col("area") / 5.0, PLANES), 6).alias("zi"))
-
-
-_BOX = f"{_POS}, box AS (SELECT fov, fx AS x0, fy AS y0, fx + {WIDTH * PIXEL} AS x1, fy + {WIDTH * PIXEL} AS y1 FROM pos)"
-
-
-@query("fov_overlaps", _BOX + " SELECT a.fov AS a, b.fov AS b FROM box a JOIN box b ON a.fov <> b.fov AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1")
-def fov_overlaps(spark: SparkSession, d: str) -> DataFrame:
-    return sp.overlapping_boxes(sp.boxes(_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL), "fov", 250.0)
-
-
-@query("global_extent", _BOX + " SELECT round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1 FROM box")
-def global_extent(spark: SparkSession, d: str) -> DataFrame:
-    b = sp.boxes(_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL)
-    return b.agg(*[F.round(f(c), 6).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+    return molecules(spark, d).select("molecule_id", F.round(sp.z_of_plane(F.col("area") / 5.0, [k * PLANE_STEP for k in range(5)]), 6).alias("zi"))
 
 
 _RUN_POS = f"{_GOOD}, pos AS (SELECT run_id, fov, min(global_x) AS fx, min(global_y) AS fy FROM good GROUP BY run_id, fov)"
@@ -72,27 +36,43 @@ def _run_positions(spark: SparkSession, d: str) -> DataFrame:
     return _good(spark, d).groupBy(*_TILE).agg(F.min("global_x").alias("fx"), F.min("global_y").alias("fy"))
 
 
+@query("fov_positions", _RUN_POS + " SELECT run_id, fov, fx, fy FROM pos")
 @query("run_fov_positions", _RUN_POS + " SELECT run_id, fov, fx, fy FROM pos")
-def run_fov_positions(spark: SparkSession, d: str) -> DataFrame:
+def fov_positions(spark: SparkSession, d: str) -> DataFrame:
     return _run_positions(spark, d)
 
 
+@query("to_global", _RUN_POS + f" SELECT run_id, molecule_id, round(fx + x * {PIXEL}, 6) AS gx, round(fy + y * {PIXEL}, 6) AS gy FROM good JOIN pos USING (run_id, fov)")
 @query("run_to_global", _RUN_POS + f" SELECT run_id, molecule_id, round(fx + x * {PIXEL}, 6) AS gx, round(fy + y * {PIXEL}, 6) AS gy FROM good JOIN pos USING (run_id, fov)")
-def run_to_global(spark: SparkSession, d: str) -> DataFrame:
+def to_global(spark: SparkSession, d: str) -> DataFrame:
     return sp.to_global(_good(spark, d), _run_positions(spark, d), PIXEL, _TILE).select("run_id", "molecule_id", F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"))
 
 
+@query("to_pixels", _RUN_POS + f" SELECT run_id, molecule_id, CAST(trunc((global_x - fx) / {PIXEL}) AS INTEGER) AS px, CAST(trunc((global_y - fy) / {PIXEL}) AS INTEGER) AS py FROM good JOIN pos USING (run_id, fov)")
 @query("run_to_pixels", _RUN_POS + f" SELECT run_id, molecule_id, CAST(trunc((global_x - fx) / {PIXEL}) AS INTEGER) AS px, CAST(trunc((global_y - fy) / {PIXEL}) AS INTEGER) AS py FROM good JOIN pos USING (run_id, fov)")
-def run_to_pixels(spark: SparkSession, d: str) -> DataFrame:
+def to_pixels(spark: SparkSession, d: str) -> DataFrame:
     renamed = _good(spark, d).withColumnRenamed("global_x", "gx").withColumnRenamed("global_y", "gy")
     return sp.to_pixels(renamed, _run_positions(spark, d), PIXEL, _TILE).select("run_id", "molecule_id", "px", "py")
 
 
+@query("fov_overlaps", _RUN_BOX + " SELECT a.run_id AS run_a, a.fov AS fov_a, b.run_id AS run_b, b.fov AS fov_b FROM box a JOIN box b ON (a.run_id <> b.run_id OR a.fov <> b.fov) AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1")
+def fov_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of tiles of all runs, which share one frame."""
+    made = sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"]).withColumn("tile", F.struct("run_id", "fov"))
+    return sp.overlapping_boxes(made, "tile", 250.0).select(F.col("a.run_id").alias("run_a"), F.col("a.fov").alias("fov_a"), F.col("b.run_id").alias("run_b"), F.col("b.fov").alias("fov_b"))
+
+
 @query("run_fov_overlaps", _RUN_BOX + " SELECT a.run_id, a.fov AS a, b.fov AS b FROM box a JOIN box b ON a.run_id = b.run_id AND a.fov <> b.fov AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1")
 def run_fov_overlaps(spark: SparkSession, d: str) -> DataFrame:
     return sp.overlapping_boxes(sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"]), "fov", 250.0, ["run_id"])
 
 
+@query("global_extent", _RUN_BOX + " SELECT round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1 FROM box")
+def global_extent(spark: SparkSession, d: str) -> DataFrame:
+    b = sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"])
+    return b.agg(*[F.round(f(c), 6).alias(c) for f, c in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+
+
 @query("run_global_extent", _RUN_BOX + " SELECT run_id, round(min(x0), 6) AS x0, round(min(y0), 6) AS y0, round(max(x1), 6) AS x1, round(max(y1), 6) AS y1 FROM box GROUP BY run_id")
 def run_global_extent(spark: SparkSession, d: str) -> DataFrame:
     b = sp.boxes(_run_positions(spark, d), WIDTH * PIXEL, WIDTH * PIXEL, ["run_id"])
@@ -129,24 +109,6 @@ def contact_matrix(spark: SparkSession, d: str) -> DataFrame:
     return sp.contact_counts(pts, pts.select("id", F.col("barcode_id").alias("type")), 3.0)
 
 
-_HALVES = """, a AS (SELECT * FROM c WHERE id % 2 = 0), b AS (SELECT * FROM c WHERE id % 2 = 1),
-wa1 AS (SELECT id, px, py, cx + unnest([-1, 0, 1]) AS cx, cy FROM a), wa AS (SELECT id, px, py, cx, cy + unnest([-1, 0, 1]) AS cy FROM wa1),
-d AS (SELECT wa.id AS a, b.id AS b, (wa.px - b.px) * (wa.px - b.px) + (wa.py - b.py) * (wa.py - b.py) AS d2 FROM wa JOIN b USING (cx, cy)),
-f AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS ka, row_number() OVER (PARTITION BY b ORDER BY d2, a) AS kb FROM d WHERE d2 <= {u2})"""
-
-
-@query("nearest_odd", _near(5.0) + _HALVES.format(u2=50000 * 50000) + " SELECT a AS id, b AS other_id, d2 FROM f WHERE ka = 1")
-def nearest_odd(spark: SparkSession, d: str) -> DataFrame:
-    pts = _points(spark, d)
-    return sp.nearest(pts.filter("id % 2 = 0"), pts.filter("id % 2 = 1"), 5.0)
-
-
-@query("mutual_nearest", _near(5.0) + _HALVES.format(u2=50000 * 50000) + " SELECT a AS id, b AS other_id, d2 FROM f WHERE ka = 1 AND kb = 1")
-def mutual_nearest(spark: SparkSession, d: str) -> DataFrame:
-    pts = _points(spark, d)
-    return sp.mutual_nearest(pts.filter("id % 2 = 0"), pts.filter("id % 2 = 1"), 5.0)
-
-
 _EACH = f"""{_PTS}, d AS (SELECT a.id, b.id AS other_id, (a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py) AS d2 FROM pt a JOIN pt b ON a.id <> b.id),
 f AS (SELECT id, min({{'d2': d2, 'other_id': other_id}}) AS m FROM d GROUP BY id), n AS (SELECT id, m.other_id AS other_id, round(sqrt(CAST(m.d2 AS DOUBLE)) / 10000, 4) AS distance FROM f)"""
 
@@ -162,6 +124,7 @@ def nearest_each(spark: SparkSession, d: str) -> DataFrame:
     return _nearest_each(spark, d)
 
 
+@query("mutual_nearest", _EACH + " SELECT a.id, a.other_id, a.distance FROM n a JOIN n b ON b.id = a.other_id AND b.other_id = a.id WHERE a.id < a.other_id")
 @query("mutual_nearest_each", _EACH + " SELECT a.id, a.other_id, a.distance FROM n a JOIN n b ON b.id = a.other_id AND b.other_id = a.id WHERE a.id < a.other_id")
 def mutual_nearest_each(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of molecules that are each other's nearest."""
@@ -173,13 +136,13 @@ def mutual_nearest_each(spark: SparkSession, d: str) -> DataFrame:
 _LINK = (
     _near(1.5)
     + """, l AS (SELECT p.id AS a, q.id AS b, (p.px - q.px) * (p.px - q.px) + (p.py - q.py) * (p.py - q.py) AS d2, q.z AS oz FROM n JOIN pt p ON p.id = n.a JOIN pt q ON q.id = n.b
-WHERE p.barcode_id = q.barcode_id AND p.z <> q.z AND abs(p.z - q.z) <= 1.5 AND p.z <= 6 AND q.z <= 6),
+WHERE p.barcode_id = q.barcode_id AND p.z <> q.z AND abs(p.z - q.z) <= 1.5),
 best AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM (SELECT *, row_number() OVER (PARTITION BY a, oz ORDER BY d2, b) AS k FROM l) WHERE k = 1)"""
 )
 
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
-    return sp.plane_links(_points(spark, d, "z", "barcode_id"), PLANES, 1, 1.5, "barcode_id")
+    return sp.plane_links(_points(spark, d, "z", "barcode_id"), PLANE_STEP, 1.5, "barcode_id")
 
 
 @query("zplane_links", _LINK + " SELECT a, b FROM best")

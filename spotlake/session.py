@@ -1,13 +1,14 @@
-"""Session settings and the shared folder for checkpoints."""
+"""Session settings, the shared folder for checkpoints, and broadcasts of measured size."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: A side of a join is hinted as broadcast only if it is measured to be under this many bytes.
-BROADCAST_BYTES = 8 << 20
+#: A side of a join is hinted as broadcast only if it is measured to have at most this many rows.
+BROADCAST_ROWS = 200_000
 
 
 def get_spark(cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -20,6 +21,7 @@ def get_spark(cpus: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -27,10 +29,12 @@ def get_spark(cpus: int | str = "*", **conf: str) -> SparkSession:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: keep the cluster's spark.checkpoint.dir; set a folder only where none is set (tests)."""
+    """Make checkpoint() usable: keep the cluster's spark.checkpoint.dir; a folder of this machine only for a local session (tests), else an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spotlake-checkpoint-"))
 
 
@@ -40,6 +44,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """*df* with a broadcast hint if it is measured to have at most *rows* rows, else as it is. Measuring computes it: cut() what is dear first."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def molecule_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 8, pattern: str = "*.parquet") -> DataFrame:
-    """New files of a folder whose name fits *pattern*, as a stream; the number of files bounds a batch."""
-    options = {"maxFilesPerTrigger": files_per_trigger, "pathGlobFilter": pattern}
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+def molecule_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 8) -> DataFrame:
+    """New files of a folder, or of all folders and files that fit a pattern, as a stream; the number of files bounds a batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def timed(df: DataFrame, time: str, late: str) -> DataFrame:
@@ -20,9 +19,9 @@ def timed(df: DataFrame, time: str, late: str) -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
 
 
-def once_each(stream: DataFrame, id_column: str, time: str, late: str) -> DataFrame:
-    """Each id once; state is kept as long as rows may be *late*."""
-    return timed(stream, time, late).dropDuplicatesWithinWatermark([id_column])
+def once_each(stream: DataFrame, id_column: str, time: str, late: str | None = None) -> DataFrame:
+    """Each id once. State is kept as long as rows may be *late*, and later rows are dropped; without *late* all ids are kept and no row is dropped."""
+    return timed(stream, time, late).dropDuplicatesWithinWatermark([id_column]) if late else stream.dropDuplicates([id_column])
 
 
 def window_counts(df: DataFrame, time: str, by: str, window: str, slide: str | None = None, late: str | None = None) -> DataFrame:
