@@ -22,8 +22,23 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[st
     totals = parts.groupBy("_part", *keys).agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", *keys, *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
-    names = [c for c in df.columns]
-    return local.join(offsets, ["_part", *keys]).select(*names, *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in sums])
+    same = F.col("a._part") == F.col("b._part")
+    for k in keys:
+        same &= F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return local.alias("a").join(offsets.alias("b"), same).select(*[F.col(f"a.{c}") for c in df.columns], *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in sums])
+
+
+def running_minima(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """*df* (unique in keys and order) with *value* replaced by the least value of the rows of its keys from this one on, by range parts as in running_sums()."""
+    parts = cut(df.repartitionByRange(*[F.col(c) for c in [*keys, order]]).select("*", F.spark_partition_id().alias("_part")))
+    ahead = Window.partitionBy("_part", *keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = parts.withColumn("_in", F.min(value).over(ahead))
+    later = Window.partitionBy(*keys).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    rest = parts.groupBy("_part", *keys).agg(F.min(value).alias("_t")).select("_part", *keys, F.min("_t").over(later).alias("_off"))
+    same = F.col("a._part") == F.col("b._part")
+    for k in keys:
+        same &= F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return local.alias("a").join(rest.alias("b"), same).select(*[F.col(f"a.{c}") for c in df.columns if c != value], F.least("a._in", "b._off").alias(value))
 
 
 def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str = "row") -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlake.operators.ranking import row_numbers, running_sums
+from spotlake.operators.ranking import row_numbers, running_minima, running_sums
 from spotlake.session import cut
 
 #: The polynomial of Abramowitz and Stegun 7.1.26 for the error function (absolute error under 1.5e-7).
 ERF_P = 0.3275911
 ERF_A = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
+#: Permutations that are made in one pass.
+SHUFFLES_AT_ONCE = 25
 #: A product of deviations up to this is taken as no variation.
 NO_SPREAD = 1e-15
 
@@ -36,22 +38,25 @@ def two_sided_p_sql(z: str) -> str:
 
 
 def adjust(df: DataFrame, keys: list[str], p: str, method: str = "bh", name: str = "q") -> DataFrame:
-    """p-values corrected within their keys: Benjamini-Hochberg ('bh') or Benjamini-Yekutieli ('by'). A null p stays null and isn't counted."""
+    """p-values corrected within their keys: Benjamini-Hochberg ('bh') or Benjamini-Yekutieli ('by'). A null p stays null and isn't counted.
+
+    Works on the distinct p-values of a key with their counts, which are numbered by distributed running sums; the least value from the
+    largest p downwards is the same kind of sum over range parts, so no task gathers a key's rows.
+    """
     if method not in ("bh", "by"):
         raise ValueError(f"unknown method {method}")
-    key = [F.col(k) for k in keys] or [F.lit(0)]
-    m = F.count(p).over(Window.partitionBy(*key))
-    up = Window.partitionBy(*key).orderBy(F.col(p).asc_nulls_last())
-    # ties share the least value anyway, as the minimum runs from the largest p downwards
-    ranked = df.withColumn("_m", m).withColumn("_k", F.row_number().over(up))
-    if method == "by":
-        harmonic = F.aggregate(F.sequence(F.lit(1), F.col("_m").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
-        ranked = ranked.withColumn("_h", F.when(F.col("_m") > 0, harmonic).otherwise(F.lit(1.0)))
-    else:
-        ranked = ranked.withColumn("_h", F.lit(1.0))
-    down = Window.partitionBy(*key).orderBy(F.col("_k").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    stepped = F.min(F.when(F.col(p).isNotNull(), F.col(p) * F.col("_m") * F.col("_h") / F.col("_k"))).over(down)
-    return ranked.withColumn(name, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), stepped))).drop("_m", "_k", "_h")
+    df = cut(df)
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    counted = df.filter(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    size = counted.groupBy(*keys).agg(F.sum("_c").alias("_m"))
+    ranked = running_sums(counted, keys, ["_p"], {"_b": F.col("_c")})
+    sized = ranked.alias("a").join(size.alias("b"), same("a", "b") or F.lit(True)).select("a.*", "_m")
+    # of equal p-values the last has the largest number, hence the least value
+    harmonic = F.aggregate(F.sequence(F.lit(1), F.col("_m").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i) if method == "by" else F.lit(1.0)
+    value = sized.select(*keys, "_p", (F.col("_p") * F.col("_m") * harmonic / (F.col("_b") + F.col("_c"))).alias("_q"))
+    stepped = running_minima(value, keys, "_p", "_q")
+    joined = df.alias("a").join(stepped.alias("b"), [*same("a", "b"), F.col(f"a.{p}") == F.col("b._p")], "left")
+    return joined.select("a.*", F.least(F.lit(1.0), F.col("b._q")).alias(name))
 
 
 def rank_sum_against_controls(df: DataFrame, key: str, group: str, value: str, control: object) -> DataFrame:
@@ -131,24 +136,26 @@ def correlations(profiles: DataFrame, item: str, feature: str, value: str) -> Da
 
 def permuted(df: DataFrame, row_id: str, label: str, seed: int) -> DataFrame:
     """A uniform permutation of *label* over all rows: row_id, label. The order is that of md5(seed, id), so it can be repeated anywhere."""
-    return _shuffled(df, row_id, label, seed, row_numbers(df.select(row_id), [], [row_id], "_row")).drop("_row")
-
-
-def _shuffled(df: DataFrame, row_id: str, label: str, seed: int, numbered: DataFrame) -> DataFrame:
-    """The numbered rows' other columns with the labels of permuted()."""
     mixed = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(row_id).cast("string"))).alias("_mix")
-    return numbered.join(row_numbers(df.select(label, mixed), [], ["_mix"], "_row").drop("_mix"), "_row")
+    numbered = row_numbers(df.select(row_id), [], [row_id], "_row")
+    return numbered.join(row_numbers(df.select(label, mixed), [], ["_mix"], "_row").drop("_mix"), "_row").drop("_row")
 
 
 def permutation_p(df: DataFrame, row_id: str, unit: str, label: str, shuffles: int) -> DataFrame:
-    """Per unit and label: the observed count and the share of *shuffles* in which more rows of the unit have the label (strictly), BH within the unit."""
-    observed = df.groupBy(unit, label).agg(F.count(F.lit(1)).alias("n"))
-    numbered = cut(row_numbers(df.select(row_id, unit), [], [row_id], "_row"))
-    beaten = None
-    for s in range(shuffles):
-        mixed = _shuffled(df, row_id, label, s, numbered).groupBy(unit, label).agg(F.count(F.lit(1)).alias("m"))
-        more = observed.join(mixed, [unit, label]).filter("m > n").select(unit, label)
-        beaten = more if beaten is None else beaten.unionByName(more)
-    times = beaten.groupBy(unit, label).agg(F.count(F.lit(1)).alias("times"))
-    p = observed.join(times, [unit, label], "left").withColumn("p", F.coalesce("times", F.lit(0)) / F.lit(float(shuffles))).drop("times")
+    """Per unit and label: the observed count and the share of *shuffles* in which more rows of the unit have the label (strictly), BH within the unit.
+
+    The number of the shuffle is a key column: SHUFFLES_AT_ONCE of them are sorted and counted in one pass.
+    """
+    observed = cut(df.groupBy(unit, label).agg(F.count(F.lit(1)).alias("n")))
+    numbered = cut(row_numbers(df.select(row_id, unit), [], [row_id], "_row").select("_row", unit))
+    times = None
+    for first in range(0, shuffles, SHUFFLES_AT_ONCE):
+        seed = F.explode(F.sequence(F.lit(first), F.lit(min(first + SHUFFLES_AT_ONCE, shuffles) - 1))).alias("_seed")
+        mixed = df.select(row_id, label, seed).select(label, "_seed", F.md5(F.concat_ws("-", F.col("_seed").cast("string"), F.col(row_id).cast("string"))).alias("_mix"))
+        drawn = row_numbers(mixed, ["_seed"], ["_mix"], "_row").select("_seed", label, "_row").join(numbered, "_row")
+        counted = drawn.groupBy("_seed", unit, label).agg(F.count(F.lit(1)).alias("m"))
+        more = counted.join(observed, [unit, label]).filter("m > n").groupBy(unit, label).agg(F.count(F.lit(1)).alias("times"))
+        times = more if times is None else times.unionByName(more)
+    beaten = times.groupBy(unit, label).agg(F.sum("times").alias("times"))
+    p = observed.join(beaten, [unit, label], "left").withColumn("p", F.coalesce("times", F.lit(0)) / F.lit(float(shuffles))).drop("times")
     return adjust(p, [unit], "p")

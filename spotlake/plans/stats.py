@@ -110,16 +110,17 @@ def permuted_labels(spark: SparkSession, d: str) -> DataFrame:
     return st.permuted(_placed(spark, d), "molecule_id", "barcode_id", 7)
 
 
-_SHUFFLES = 3
+_SHUFFLES = 100
 
 
 @query(
     "permutation_pvalues",
-    f"""{_PLACED}, o AS (SELECT cell_index, barcode_id, count(*) AS n FROM placed GROUP BY 1, 2), """
-    + ", ".join(f"s{i} AS (SELECT cell_index, x.barcode_id, count(*) AS m FROM ({_perm_sql(str(i))}) x JOIN placed USING (molecule_id) GROUP BY 1, 2)" for i in range(_SHUFFLES)).replace("cell_index, x.barcode_id", "placed.cell_index, x.barcode_id")
-    + ", beaten AS ("
-    + " UNION ALL ".join(f"SELECT o.cell_index, o.barcode_id FROM o JOIN s{i} USING (cell_index, barcode_id) WHERE m > n" for i in range(_SHUFFLES))
-    + f"""), p AS (SELECT o.cell_index, o.barcode_id, n, coalesce(b.t, 0) / {_SHUFFLES}.0 AS p FROM o LEFT JOIN (SELECT cell_index, barcode_id, count(*) AS t FROM beaten GROUP BY 1, 2) b USING (cell_index, barcode_id)),
+    f"""{_PLACED}, o AS (SELECT cell_index, barcode_id, count(*) AS n FROM placed GROUP BY 1, 2),
+r AS (SELECT cell_index, row_number() OVER (ORDER BY molecule_id) AS r FROM placed), i AS (SELECT unnest(range({_SHUFFLES})) AS seed),
+s AS (SELECT seed, barcode_id, row_number() OVER (PARTITION BY seed ORDER BY md5(seed || '-' || molecule_id)) AS r FROM placed CROSS JOIN i),
+c AS (SELECT seed, cell_index, barcode_id, count(*) AS m FROM s JOIN r USING (r) GROUP BY 1, 2, 3),
+b AS (SELECT cell_index, barcode_id, count(*) AS t FROM c JOIN o USING (cell_index, barcode_id) WHERE m > n GROUP BY 1, 2),
+p AS (SELECT o.cell_index, o.barcode_id, n, coalesce(b.t, 0) / {_SHUFFLES}.0 AS p FROM o LEFT JOIN b USING (cell_index, barcode_id)),
 k AS (SELECT *, row_number() OVER (PARTITION BY cell_index ORDER BY p, barcode_id) AS k, count(*) OVER (PARTITION BY cell_index) AS m FROM p),
 q AS (SELECT *, min(p * m / k) OVER (PARTITION BY cell_index ORDER BY k DESC) AS q FROM k)
 SELECT cell_index, barcode_id, CAST(n AS BIGINT) AS n, round(CAST(p AS DOUBLE), 6) AS p, round(CAST(least(1.0, min(q) OVER (PARTITION BY cell_index, p)) AS DOUBLE), 6) AS q FROM q""",
