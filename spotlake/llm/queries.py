@@ -125,6 +125,12 @@ g AS (SELECT *, sum(fresh) OVER (PARTITION BY probe_id ORDER BY i) AS run FROM r
 SELECT probe_id, min(i) AS span_start, max(i) + 40 - min(i) AS span_len FROM g GROUP BY probe_id, run
 """
 
+ORACLES["p6_shares"] = (
+    ORACLES["p6_found"].replace("SELECT probe_id, min(i)", ", f AS (SELECT probe_id, min(i)", 1).rstrip()
+    + """), t AS (SELECT probe_id, sum(span_len) AS shared FROM f GROUP BY 1), p AS (SELECT probe_id, max(length(target_sequence)) AS letters FROM probe_dict GROUP BY 1)
+SELECT probe_id, CAST(coalesce(letters, 0) AS INTEGER) AS letters, CAST(coalesce(shared, 0) AS BIGINT) AS shared, round(coalesce(shared / nullif(letters, 0), 0.0), 6) AS share FROM p LEFT JOIN t USING (probe_id)"""
+)
+
 ORACLES["p8_found"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
 b AS (SELECT item_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),

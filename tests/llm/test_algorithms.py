@@ -130,13 +130,13 @@ def test_spans_of_the_given_table(spark):
     assert len(shares) == 2000 and shares.share.between(0, 1).all() and shares.shared.sum() == sum(n for _, _, n in want)
 
 
-@pytest.mark.parametrize("kw", [{"depth": 14}, {"depth": 10, "group": 20, "lengths": (2, 4)}, {"depth": 64, "group": 3, "lengths": (1, 3, 5)}])
+@pytest.mark.parametrize("kw", [{"depth": 14, "anchor": 6}, {"depth": 10, "group": 20, "lengths": (2, 4), "anchor": 10}, {"depth": 64, "group": 3, "lengths": (1, 3, 5), "anchor": 4}, {"anchor": 1, "group": 200}, {"anchor": 8}])
 def test_spans_whatever_the_groups(spark, kw):
     random.seed(4)
     base = ["".join(random.choice("ab") for _ in range(30)) for _ in range(3)]
     cut = lambda: random.choice(base)[random.randint(0, 5) : random.randint(8, 30)]
     rows = [(random.randint(1, 60), "".join(cut() for _ in range(random.randint(0, 6)))) for _ in range(200)]
-    rows += [(7, "a" * 50), (8, "a" * 30), (9, "c" * 70), (9, "c" * 70), (9, "xc" * 9), (500, None), (501, ""), (502, "é" * 12), (503, "é" * 12)]
+    rows += [(7, "a" * 50), (8, "a" * 30), (9, "c" * 70), (9, "c" * 70), (9, "xc" * 9), (500, None), (501, ""), (502, "é" * 12), (503, "é" * 12), (504, "x" + "éа一b" * 5), (505, "éа一b" * 3 + "y"), (506, "éа一b" * 2)]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "id bigint, s string, seq_id int, pos int")
     got = shared_spans(df, "id", "s", least=10, **kw).collect()
     assert {tuple(r) for r in got} == brute_spans([r for r in rows if r[1]], 10)
@@ -147,3 +147,5 @@ def test_spans_of_nothing(spark):
     assert shared_spans(df, "id", "s").collect() == []
     with pytest.raises(ValueError):
         shared_spans(df, "id", "s", least=10, depth=9)
+    with pytest.raises(ValueError):
+        shared_spans(df, "id", "s", least=10, anchor=11)
