@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The letters of a gap, how many of them make a boundary, and the junction mark.
@@ -23,54 +25,47 @@ def _up_to(least: int, most: int) -> str:
     return "|".join([rf".{{1,{most}}}\z", *(rf".{{{least},{most}}}{b}" for b in BOUNDARIES), rf".{{1,{most}}}"])
 
 
-def _ends(parts: Column) -> Column:
-    """Running sums of the parts' lengths."""
-    start = F.array().cast("array<int>")
-    return F.aggregate(
-        parts, start, lambda ends, p: F.concat(ends, F.array(F.coalesce(F.try_element_at(ends, F.lit(-1)), F.lit(0)) + F.length(p)))
-    )
-
-
-def _oversized(df: DataFrame, id_column: str, sequence: str, limit: int) -> DataFrame:
-    seq = df.select(F.col(id_column).alias("id"), letters(F.col(sequence)).alias("seq"))
-    return seq.filter(F.length("seq") > limit).distinct()
+def _running(sizes: pd.Series) -> pd.Series:
+    return sizes.map(np.cumsum)
 
 
 def split_pieces(df: DataFrame, id_column: str, sequence: str, limit: int, overlap: int) -> DataFrame:
     """Ordered pieces of at most *limit* letters of each sequence longer than that: id, piece, start_at, end_at, text.
 
     A regular expression whose alternatives are ordered by the strength of the boundary consumes up to the limit, any letter being the
-    fallback; every piece after the first looks *overlap* letters back from the end of the one before. The pieces
-    cover the sequence. Work is local to the row except for merging repeated rows. Null, empty and short sequences give nothing; a
-    transcript with two different sequences gives the pieces of both.
+    fallback; every piece after the first looks *overlap* letters back from the end of the one before, by a second look at the same
+    matches. The pieces cover the sequence, and the work is in proportion to its length. Work is local to the row except for merging repeated rows. Null,
+    empty and short sequences give nothing; a transcript with two different sequences gives the pieces of both.
     """
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be under the limit")
-    pattern = rf"(?s)\A(?:{_up_to(overlap + 1, limit)})|(?:{_up_to(1, limit - overlap)})"
-    cut = _oversized(df, id_column, sequence, limit).withColumn("ends", _ends(F.regexp_extract_all("seq", F.lit(pattern), F.lit(0))))
-    span = cut.select("id", "seq", "ends", F.posexplode("ends").alias("piece", "end_at"))
-    start = F.when(F.col("piece") == 0, 0).otherwise(F.greatest(F.lit(0), F.try_element_at("ends", F.col("piece")) - overlap))
-    return span.withColumn("start_at", F.when(F.col("piece") == 0, F.lit(0)).otherwise(start)).select(
-        "id", "piece", "start_at", "end_at", F.substring(F.col("seq"), F.col("start_at") + 1, F.col("end_at") - F.col("start_at")).alias("text")
-    )
-
-
-def natural_boundaries(df: DataFrame, id_column: str, sequence: str, limit: int) -> DataFrame:
-    """Every natural boundary inside the sequences longer than *limit*: id, cut_at (letters before it); 0 where there is none.
-
-    The same bounded extraction, but consuming as little as possible up to the next boundary of any strength; parts that
-    end at the fallback are no boundaries, nor is the end of the sequence.
+    seq = df.select(F.col(id_column).alias("id"), letters(F.col(sequence)).alias("seq"))
+    once = seq.filter(F.length("seq") > limit).distinct()
+    first, later = _up_to(overlap + 1, limit), _up_to(1, limit - overlap)
+    parts = F.regexp_extract_all("seq", F.lit(rf"(?s)\A(?:{first})|(?:{later})"), F.lit(0))
+    before = F.regexp_extract_all("seq", F.lit(rf"(?s)\A(?:{first})|(?<=(.{{{overlap}}}))(?:{later})"), F.lit(1))
+    cut = once.select("id", parts.alias("part"), before.alias("before"))
+    ends = F.pandas_udf(_running, "array<int>")(F.transform("part", F.length))  # the lengths only leave the JVM
+    span = cut.withColumn("end_at", ends).select("id", F.posexplode(F.arrays_zip("part", "before", "end_at")).alias("piece", "p"))
+    text = F.concat("p.before", "p.part")
+    return span.select("id", "piece", (F.col("p.end_at") - F.length(text)).alias("start_at"), F.col("p.end_at").alias("end_at"), text.alias("text"))
+
+
+def natural_boundaries(pieces: DataFrame, limit: int) -> DataFrame:
+    """Every natural boundary inside the sequences of *pieces*, which overlap by more than GAP_RUN letters: id, cut_at (letters before it); 0 where there is none.
+
+    The pieces of split_pieces() are taken apart by the same bounded extraction, consuming as little as possible up to the next
+    boundary of any strength; parts that end at the fallback are no boundaries. A boundary at a piece's end shows in the next piece,
+    which begins before it and holds the letter after it, so the end of the sequence is none.
     """
-    at_boundary = "|".join(BOUNDARIES)
-    pattern = rf"(?s).{{1,{limit}}}?(?:{at_boundary})|.{{1,{limit}}}"
-    ends = (
-        _oversized(df, id_column, sequence, limit)
-        .withColumn("parts", F.regexp_extract_all("seq", F.lit(pattern), F.lit(0)))
-        .select("id", F.length("seq").alias("n"), "seq", "parts", _ends(F.col("parts")).alias("ends"))
-    )
+    pattern = rf"(?s).{{1,{limit}}}?(?:{'|'.join(BOUNDARIES)})|.{{1,{limit}}}"
+    start = F.array().cast("array<int>")
+    sizes = F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), F.length)
+    ends = F.aggregate(sizes, start, lambda done, n: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + n)))  # of one piece, so bounded by the limit
+    inner = F.filter(ends, lambda e: e < F.length("text"))
     # whether a part ends at a boundary is seen in its last letters and the one after it
-    window = F.transform("ends", lambda e: F.struct(e.alias("e"), F.substring(F.col("seq"), F.greatest(e - GAP_RUN, F.lit(0)) + 1, F.least(e, F.lit(GAP_RUN)) + 1).alias("near")))
-    whole = rf"(?s)(?:.*{JUNCTION}.|{GAP}{{{GAP_RUN}}}(?!{GAP}).)"
-    cuts = F.filter(window, lambda w: (w["e"] < F.col("n")) & w["near"].rlike(rf"(?s)\A{whole}\z"))
-    found = ends.select("id", F.transform(cuts, lambda w: w["e"]).alias("cuts"))
-    return found.select("id", F.explode(F.when(F.size("cuts") > 0, F.col("cuts")).otherwise(F.array(F.lit(0)))).alias("cut_at")).distinct()
+    near = lambda e: F.substring(F.col("text"), F.greatest(e - GAP_RUN, F.lit(0)) + 1, F.least(e, F.lit(GAP_RUN)) + 1)
+    whole = rf"(?s)\A(?:.*{JUNCTION}.|{GAP}{{{GAP_RUN}}}(?!{GAP}).)\z"
+    cuts = F.transform(F.filter(inner, lambda e: near(e).rlike(whole)), lambda e: e + F.col("start_at"))
+    found = pieces.select("id", F.explode(F.when(F.col("piece") == 0, F.concat(F.array(F.lit(0)), cuts)).otherwise(cuts)).alias("cut_at")).distinct()
+    return found.withColumn("last", F.max("cut_at").over(Window.partitionBy("id"))).filter("cut_at > 0 OR last = 0").drop("last")

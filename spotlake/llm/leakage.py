@@ -10,17 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotlake.llm.words import shingle_rows, words
-from spotlake.session import cut
+from spotlake.session import cut, measured
 
 #: Words of a shingle, and words in a row that make a leak.
 SHINGLE, RUN = 5, 10
-#: Sides with at most this many rows (of some 30 bytes) are broadcast; larger ones are joined by shuffling.
-BROADCAST_ROWS = 200_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """*df* with a broadcast hint if it is measured to be small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def shingles(df: DataFrame, id_column: str, text: str, width: int = SHINGLE) -> DataFrame:
@@ -51,8 +44,8 @@ def leaked_items(corpus: DataFrame, corpus_id: str, corpus_text: str, items: Dat
     """
     per_window = run - width + 1
     item_rows = cut(shingles(items, item_id, item_text, width))
-    known = item_rows.select("h").distinct()
-    kept = cut(shingles(corpus, corpus_id, corpus_text, width).join(_small(known), "h", "left_semi"))
+    known = cut(item_rows.select("h").distinct())
+    kept = cut(shingles(corpus, corpus_id, corpus_text, width).join(measured(known), "h", "left_semi"))
     rarity = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
 
     placed = item_rows.join(rarity, "h").select(F.col("id").alias("item"), "pos", "h", "n")
@@ -64,9 +57,9 @@ def leaked_items(corpus: DataFrame, corpus_id: str, corpus_text: str, items: Dat
         F.min(F.struct("n", "h", (F.col("pos") - F.col("begin")).alias("shift"))).alias("prefix"),
         F.sort_array(F.collect_list(F.struct("pos", "h"))).alias("all"),  # at most per_window shingles for each row of the item
     )
-    windows = whole.filter(F.col("found") >= per_window).select("item", "begin", F.col("prefix.h").alias("h"), F.col("prefix.shift").alias("shift"), F.array_distinct(F.transform("all", lambda s: F.struct((s["pos"] - F.col("begin")).alias("shift"), s["h"].alias("h")))).alias("expected"))
+    windows = cut(whole.filter(F.col("found") >= per_window).select("item", "begin", F.col("prefix.h").alias("h"), F.col("prefix.shift").alias("shift"), F.array_distinct(F.transform("all", lambda s: F.struct((s["pos"] - F.col("begin")).alias("shift"), s["h"].alias("h")))).alias("expected")))
 
-    candidates = kept.join(_small(windows), "h").select(F.col("id").alias("doc"), (F.col("pos") - F.col("shift")).alias("at"), "item", "begin", "expected").filter("at >= 0")
+    candidates = kept.join(measured(windows), "h").select(F.col("id").alias("doc"), (F.col("pos") - F.col("shift")).alias("at"), "item", "begin", "expected").filter("at >= 0")
     needed = candidates.select("doc", "item", "at", "begin", F.explode("expected").alias("e")).select("doc", "item", "at", "begin", (F.col("at") + F.col("e.shift")).alias("pos"), F.col("e.h").alias("h"))
     met = needed.join(kept.select(F.col("id").alias("doc"), "pos", "h").distinct(), ["doc", "pos", "h"])
     likely = met.groupBy("doc", "item", "at", "begin").agg(F.count_distinct("pos").alias("held")).filter(F.col("held") == per_window)
@@ -90,7 +83,7 @@ def _verified(corpus: DataFrame, corpus_id: str, corpus_text: str, items: DataFr
     passages = F.pandas_udf(cut_out, "array<struct<at:int,passage:string>>")
     wanted = read.join(mine, "item").select("item", F.explode(passages("text", "begins")).alias("p")).select("item", F.col("p.at").alias("begin"), F.col("p.passage").alias("wanted")).distinct()
 
-    spots = windows.groupBy("doc").agg(F.collect_set("at").alias("places"))  # one window for each item of the document
+    spots = cut(windows.groupBy("doc").agg(F.collect_set("at").alias("places")))  # one window for each item of the document
     texts = corpus.select(F.col(corpus_id).alias("doc"), F.col(corpus_text).alias("text"))
-    there = texts.join(_small(spots), "doc").select("doc", F.explode(passages("text", "places")).alias("p")).select("doc", F.col("p.at").alias("at"), F.col("p.passage").alias("there")).distinct()
+    there = texts.join(measured(spots), "doc").select("doc", F.explode(passages("text", "places")).alias("p")).select("doc", F.col("p.at").alias("at"), F.col("p.passage").alias("there")).distinct()
     return windows.join(there, ["doc", "at"]).join(wanted, ["item", "begin"]).filter("there = wanted").select("doc", "item").distinct()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlake.session import cut
+from spotlake.session import cut, measured
 
 #: Letters in a row that make a shared span.
 LEAST = 40
@@ -21,8 +21,6 @@ DEPTH = 64
 PREFIXES = (12, 24)
 #: Suffixes that one subtree may have (about 200 bytes each while it is built).
 GROUP = 400_000
-#: Heavy prefixes are broadcast only if they are measured to be at most this many; there are at most (suffixes / GROUP).
-BROADCAST_ROWS = 200_000
 #: Letters of which anchors are looked for at a time (or one sequence).
 LETTERS_AT_ONCE = 1 << 20
 #: Odd multipliers of the hashes.
@@ -94,10 +92,6 @@ def _head(n: int) -> Column:
     return F.substring("suffix", 1, n)
 
 
-def _hint(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def split_by_prefix(suffixes: DataFrame, lengths: tuple[int, ...], group: int) -> tuple[DataFrame, DataFrame | None]:
     """Suffixes with the ``prefix`` that names their group, and the groups that the longest prefix can't split.
 
@@ -112,9 +106,9 @@ def split_by_prefix(suffixes: DataFrame, lengths: tuple[int, ...], group: int) -
         if heavy.isEmpty():
             return out, None
         if longer is None:
-            out = out.join(_hint(heavy.select("node")), F.col("prefix") == F.col("node"), "left")
+            out = out.join(measured(heavy.select("node")), F.col("prefix") == F.col("node"), "left")
             return out.withColumn("prefix", F.when(F.col("node").isNull(), F.col("prefix"))).drop("node"), heavy.drop("n")
-        nodes = _hint(heavy.select("node"))
+        nodes = measured(heavy.select("node"))
         left = left.join(nodes, _head(n) == F.col("node"), "left_semi")
         out = out.join(nodes, F.col("prefix") == F.col("node"), "left").withColumn("prefix", F.when(F.col("node").isNotNull(), _head(longer)).otherwise(F.col("prefix"))).drop("node")
     raise AssertionError
@@ -288,7 +282,7 @@ def _prefix_leaves(suffixes: DataFrame, least: int, depth: int, group: int, leng
     grouped = named.filter(F.col("prefix").isNotNull()).repartition("prefix").select("seq_id", "lo", "hi", "pos", "suffix").sortWithinPartitions("suffix")
     leaves = grouped.mapInArrow(_subtrees(least, depth, group // 4), "seq_id bigint, lo bigint, pos int, len int")
     if unsplit is not None:
-        shared = _hint(unsplit.filter("node_lo < node_hi").select("node"))
+        shared = measured(unsplit.filter("node_lo < node_hi").select("node"))
         wide = suffixes.filter("lo = hi").join(shared, _head(least) == F.col("node"), "left_semi")
         leaves = leaves.unionByName(wide.select("seq_id", "lo", "pos", F.lit(least).alias("len")))
     return leaves

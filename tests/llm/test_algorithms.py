@@ -41,7 +41,7 @@ def sequences(n=60):
 def test_boundaries_and_pieces_of_odd_sequences(spark):
     rows = [*sequences(), ("none", None), ("empty", ""), ("t0", sequences()[0][1]), ("run", "N" * 100), ("plain", "A" * 95), ("long", "ACGTNNNNNN" * 3000)]
     df = spark.createDataFrame([(i, s, "x", 1) for i, s in rows], "transcript_id string, sequence string, id string, piece int")
-    got = natural_boundaries(df, "transcript_id", "sequence", 30).collect()
+    got = natural_boundaries(split_pieces(df, "transcript_id", "sequence", 30, 5), 30).collect()
     assert {tuple(r) for r in got} == brute_boundaries(rows, 30) and len(got) == len(brute_boundaries(rows, 30))
     pieces = split_pieces(df, "transcript_id", "sequence", 30, 5).toPandas().sort_values(["id", "piece"])
     whole = {i: re.sub(r"\s", "", s) for i, s in rows if s}
