@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ITEM_TYPE = "array<struct<pos:int,item:string>>"
+from spotlake.session import cut
+
 #: The characters that separate items, besides white space.
 SEPARATORS = ",;|/"
-#: Cost of a quote taken as an ordinary character; a whole quoted value costs nothing.
-STRAY_QUOTE = 1
+#: What a cover costs: a plain stretch that is no known value, a quoted stretch that is none, and a quote that is an ordinary character.
+UNKNOWN, UNKNOWN_QUOTED, STRAY_QUOTE = 1, 1_999_999, 1_000_000
+#: The dictionary is sent to every task if it has at most so many values and letters in them; beyond that lists are joined with it.
+DICTIONARY_VALUES, DICTIONARY_LETTERS = 100_000, 4_000_000
 
 _PAIRS = {"[": "]", "(": ")", "{": "}"}
 _CALL = re.compile(r"[A-Za-z_][\w.]*\s*(?=\()")
-_QUOTED = re.compile(r"'[^']*'|\"[^\"]*\"")
-_GAP = re.compile(rf"\s*(?:[{SEPARATORS}]\s*|\s)")
+#: A separator, a quote or a plain stretch.
+_TOKEN = re.compile(rf"(\s*[{SEPARATORS}]\s*|\s+)|(['\"])|[^\s{SEPARATORS}'\"]+")
+#: A plain or quoted stretch between separators or ends of the list; quoted ones may overlap.
+_PLAIN = re.compile(rf"(?<![^\s{SEPARATORS}])[^\s{SEPARATORS}'\"]+(?![^\s{SEPARATORS}])")
+_QUOTED = re.compile(rf"(?<![^\s{SEPARATORS}])(?=('[^']*'|\"[^\"]*\")(?![^\s{SEPARATORS}]))")
+_SPAN = re.compile(r"(?=('[^']*'|\"[^\"]*\"))")
 
 
 def unwrap(text: str) -> str:
@@ -38,92 +47,128 @@ def unwrap(text: str) -> str:
     return body
 
 
-def known_values(bodies: list[str]) -> ahocorasick.Automaton | None:
-    """A multi-pattern automaton over the whole values that the lists themselves show in quotes."""
-    values = {m for body in bodies for q in "'\"" if q in body for m in re.findall(f"{q}[^{q}]*{q}", body)}
-    values |= {m for body in bodies for m in _QUOTED.findall(body)}
-    if not values:
-        return None
+def whole_values(bodies: Iterable[str]) -> set[str]:
+    """The values that stand alone in some list: plain ones, and quoted ones with their quotes."""
+    return {v for b in bodies for pattern in (_PLAIN, _QUOTED) for v in pattern.findall(b)}
+
+
+def automaton_of(values: Iterable[str]) -> ahocorasick.Automaton | None:
+    """A multi-pattern automaton over whole values."""
     automaton = ahocorasick.Automaton()
-    for value in values:
-        automaton.add_word(value, len(value))
+    for v in values:
+        automaton.add_word(v, len(v))
+    if not len(automaton):
+        return None
     automaton.make_automaton()
     return automaton
 
 
-def best_cover(body: str, automaton: ahocorasick.Automaton | None) -> list[tuple[int, int]]:
-    """The known whole values of the cheapest cover of *body*, as (start, end), found by dynamic programming from the right.
+def best_cover(body: str, automaton: ahocorasick.Automaton | None) -> list[tuple[str, str]]:
+    """The cheapest cover of *body* as (kind, text): 'gap', 'plain' or 'quoted' (without its quotes), by dynamic programming from the right.
 
-    A known value covers its delimiters and costs nothing; an ordinary character costs nothing either, but a quote
-    among them costs STRAY_QUOTE. Of equal covers the one wins whose first known value starts leftmost and is shortest.
+    Known whole values cost nothing, and the separators inside a quoted one are covered by it. A quoted stretch that is no known value costs hardly less than its two
+    quotes taken as ordinary characters. Of equal covers the one wins whose first quoted value starts leftmost and is shortest.
     """
-    if automaton is None or ("'" not in body and '"' not in body):
-        return []
-    starts: dict[int, list[int]] = {}
-    for end, size in automaton.iter(body):
-        starts.setdefault(end + 1 - size, []).append(size)
-    n = len(body)
+    tokens = [(m.start(), m.end(), m.lastindex) for m in _TOKEN.finditer(body)]  # 1: separator, 2: quote, None: plain
+    n = len(tokens)
+    known = {(end + 1 - size, end + 1) for end, size in automaton.iter(body)} if automaton else set()
+    starts = {a: i for i, (a, _, _) in enumerate(tokens)} | {len(body): n}
     cost, take = [0] * (n + 1), [0] * n
+    after: dict[str, list[int]] = {"'": [], '"': []}  # quotes to the right, the nearest last
     for i in range(n - 1, -1, -1):
-        cost[i] = cost[i + 1] + (STRAY_QUOTE if body[i] in "'\"" else 0)
-        for size in sorted(starts.get(i, ()), reverse=True):
-            if cost[i + size] <= cost[i]:
-                cost[i], take[i] = cost[i + size], size
-    found, i = [], 0
+        a, b, kind = tokens[i]
+        if kind == 1:
+            cost[i] = cost[i + 1]
+        elif kind is None:
+            cost[i] = cost[i + 1] + (0 if (a, b) in known else UNKNOWN)
+        else:
+            mark = body[a]
+            cost[i] = cost[i + 1] + STRAY_QUOTE
+            if after[mark]:  # a quoted stretch ends at the next quote of its kind
+                end = tokens[after[mark][-1]][1]
+                j = starts[end]
+                covered = cost[j] + (0 if (a, end) in known else UNKNOWN_QUOTED)
+                if covered <= cost[i]:
+                    cost[i], take[i] = covered, j
+            after[mark].append(i)
+    out, i = [], 0
     while i < n:
+        a, b, kind = tokens[i]
         if take[i]:
-            found.append((i, i + take[i]))
-            i += take[i]
+            i = take[i]
+            out.append(("quoted", body[a + 1 : tokens[i - 1][1] - 1]))
         else:
+            out.append(("gap" if kind == 1 else "plain", body[a:b]))
             i += 1
-    return found
-
-
-def split_list(text: str | None, automaton: ahocorasick.Automaton | None, body: str | None = None) -> list[tuple[int, str]]:
-    """(slot, item) of each non-empty item of one list."""
-    if text is None:
-        return []
-    body = unwrap(text) if body is None else body
-    if not body:
-        return []
-    slots, at, pos, item = [], 0, 0, ""
-    for start, end in [*best_cover(body, automaton), (len(body), len(body))]:
-        while at < start:
-            gap = _GAP.search(body, at, start)
-            item += body[at : gap.start() if gap else start]
-            if not gap:
-                at = start
-                break
-            slots.append((pos, item))
-            pos, item, at = pos + 1, "", gap.end()
-        if end > start:
-            item += body[start + 1 : end - 1]
-            at = end
-    slots.append((pos, item))
-    return [(p, s) for p, s in slots if s]
-
-
-def _items(texts: pd.Series) -> pd.Series:
-    bodies = [None if t is None else unwrap(t) for t in texts]
-    automaton = known_values([b for b in bodies if b])
-    return pd.Series([[{"pos": p, "item": s} for p, s in split_list(t, automaton, b)] for t, b in zip(texts, bodies)])
-
-
-def explode_lists(df: DataFrame, id_column: str, fields: list[str]) -> DataFrame:
+    return out
+
+
+def split_list(body: str, automaton: ahocorasick.Automaton | None) -> list[tuple[int, str]]:
+    """(slot, item) of each non-empty item of one unwrapped list."""
+    out, pos, item = [], 0, ""
+    for kind, text in best_cover(body, automaton):
+        if kind != "gap":
+            item += text
+            continue
+        if item:
+            out.append((pos, item))
+        pos, item = pos + 1, ""
+    return [*out, (pos, item)] if item else out
+
+
+def _bodies(column: pa.Array) -> dict[str, str]:
+    """Each different list of a column with what is in its wrapping."""
+    return {t: unwrap(t) for t in set(column.to_pylist())}
+
+
+def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(whole_values(_bodies(b.column("list")).values())), pa.string())], ["value"])
+
+
+def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(list, value) of the quoted stretches that don't stand alone in their list."""
+    for b in batches:
+        made = [(t, v) for t, body in _bodies(b.column("list")).items() for v in set(_SPAN.findall(body)) - set(_QUOTED.findall(body))]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in made], pa.string()), pa.array([v for _, v in made], pa.string())], ["list", "value"])
+
+
+def _splitter(id_column: str, values: list[str] | None):
+    """Over batches of (id, field, list, known): their items. *values* is the dictionary; without it that of the batch, with each list's known values, serves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = automaton_of(values) if values is not None else None
+        for b in batches:
+            texts, bodies = b.column("list").to_pylist(), _bodies(b.column("list"))
+            if values is None:
+                automaton = automaton_of(whole_values(bodies.values()).union(*[k or () for k in b.column("known").to_pylist()]))
+            split = {t: split_list(body, automaton) for t, body in bodies.items()}
+            items = [split[t] for t in texts]
+            row = pa.array(np.repeat(np.arange(len(texts)), [len(x) for x in items]))
+            pos, item = pa.array([p for x in items for p, _ in x], pa.int32()), pa.array([s for x in items for _, s in x], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pos, item], [id_column, "field", "pos", "item"])
+
+    return run
+
+
+def explode_lists(df: DataFrame, id_column: str, fields: list[str], most_values: int = DICTIONARY_VALUES) -> DataFrame:
     """One row for each non-empty item of the lists in *fields*: id, field, pos, item.
 
-    The dictionary of each Arrow batch is the set of whole values that its lists show in quotes, so its size is bounded by the
-    batch and nothing is broadcast; every quoted value of a row is in the dictionary of the row's batch, so the
-    result doesn't depend on how rows fall into batches. Rows stay where they are: there is no shuffle.
+    The dictionary is that of the column: every value, plain or quoted, that stands alone in some list. An automaton finds its values in each list, and
+    dynamic programming picks the best cover, which protects separators inside quoted values. The dictionary is sent to the tasks only
+    while it is measured to be small. Beyond that the quoted stretches that don't stand alone in their own list (the only ones that other
+    lists can vouch for) are joined with it, so the result is the same.
 
     Null and blank lists give nothing. Items are separated by one of SEPARATORS with the white space around it, or by
     a run of white space; slots count from 0, also empty ones, which give no row. Text in quotes is one item without
     the quotes. A quote without partner is an ordinary character. Repeated rows give repeated results.
     """
     stacked = ", ".join(f"'{f}', `{f}`" for f in fields)
-    return (
-        df.select(F.col(id_column), F.expr(f"stack({len(fields)}, {stacked}) as (field, list)"))
-        .filter(F.col("list").isNotNull())
-        .select(id_column, "field", F.explode(F.pandas_udf(_items, ITEM_TYPE)("list")).alias("s"))
-        .select(id_column, "field", "s.pos", "s.item")
-    )
+    lists = df.select(F.col(id_column), F.expr(f"stack({len(fields)}, {stacked}) as (field, list)")).filter(F.col("list").isNotNull())
+    values = cut(lists.select("list").mapInArrow(_dictionary, "value string").distinct())
+    size = values.agg(F.count("value").alias("n"), F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("letters")).first()
+    made = f"`{id_column}` {dict(df.dtypes)[id_column]}, field string, pos int, item string"
+    if size["n"] <= most_values and size["letters"] <= DICTIONARY_LETTERS:
+        return lists.mapInArrow(_splitter(id_column, [r[0] for r in values.collect()]), made)
+    vouched = lists.select("list").mapInArrow(_suspects, "list string, value string").distinct().join(values, "value").groupBy("list").agg(F.collect_set("value").alias("known"))
+    return lists.join(vouched, "list", "left").select(id_column, "field", "list", "known").mapInArrow(_splitter(id_column, None), made)

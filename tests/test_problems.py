@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spotlake.operators.key_profile import heavy_keys, key_profile
-from spotlake.operators.packed_lists import best_cover, explode_lists, known_values, split_list, unwrap
+from spotlake.operators.packed_lists import automaton_of, best_cover, explode_lists, split_list, unwrap, whole_values
 from spotlake.operators.proximity import containing_regions, near_pairs, overlapping_regions, places, region_parts
 from spotlake.plans.problems import p2_found, p4_found
 
@@ -67,26 +67,57 @@ def test_key_profile_shuffles_states_not_rows(spark):
     ],
 )
 def test_split_list(text, items):
-    assert split_list(text, known_values([unwrap(text)] if text else [])) == items
+    assert split_own(text) == items
 
 
-def test_other_rows_of_a_batch_change_nothing():
+def split_own(text, *others):
+    bodies = [unwrap(t) for t in (text, *others) if t]
+    return split_list(bodies[0], automaton_of(whole_values(bodies))) if bodies and text else []
+
+
+def test_other_lists_do_not_change_clear_ones():
     texts = ["[' ' 'a,b']", "'1' '2'", "[0,5 '0,5']", '["a", "b;c"]']
-    shared = known_values([unwrap(t) for t in texts])
     for t in texts:
-        assert split_list(t, shared) == split_list(t, known_values([unwrap(t)]))
+        assert split_own(t, *texts) == split_own(t)
+
+
+@pytest.mark.parametrize(
+    ("text", "items"),
+    [
+        ("[5' 6 '7,8' 9]", [(0, "5'"), (1, "6"), (2, "7,8"), (3, "9")]),
+        ("['a, 'b;c', d]", [(0, "'a"), (1, "b;c"), (2, "d")]),
+        ("it's | 'x|y' | don't", [(0, "it's"), (1, "x|y"), (2, "don't")]),
+        ("[\"it's, so\" 'q \" r' 5']", [(0, "it's, so"), (1, 'q " r'), (2, "5'")]),
+    ],
+)
+def test_stray_and_nested_quotes_that_pairing_from_the_left_gets_wrong(text, items):
+    assert split_own(text) == items
+
+
+def test_a_value_of_another_list_is_known():
+    text = "[3' 'p,q'' 4]"
+    assert split_own(text) == [(0, "3'"), (1, "p,q'"), (2, "4")]
+    assert ("quoted", "p,q") in best_cover(unwrap("[x'p,q' y' 'z]"), automaton_of(whole_values(["'p,q'"])))
+    assert ("quoted", " y") not in best_cover(unwrap("[x'p,q' y' 'z]"), automaton_of(whole_values(["'p,q'"])))
+
+
+def test_lists_joined_with_the_dictionary_give_the_same(spark):
+    texts = ["[5' 6 '7,8' 9]", "'p,q'", "[x'p,q' y' 'z]", "a,b", None, "", "['a, 'b;c', d]", "'b;c'", "a,b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    one, two = (sorted(map(tuple, explode_lists(df, "id", ["t"], most).collect())) for most in (1000, 0))
+    assert one == two and (0, "t", 2, "7,8") in one
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text("ab,;| ", min_size=1, max_size=4), min_size=1, max_size=6), st.sampled_from([",", "; ", " | ", "\n"]))
 def test_quoted_items_come_back(items, gap):
     body = "[" + gap.join(f"'{i}'" for i in items) + "]"
-    assert split_list(body, known_values([unwrap(body)])) == list(enumerate(items))
+    assert split_own(body) == list(enumerate(items))
 
 
 def test_cover_prefers_whole_values():
     body = "'1' '2'"
-    assert [body[a:b] for a, b in best_cover(body, known_values([body]))] == ["'1'", "'2'"]
+    assert [t for k, t in best_cover(body, automaton_of(whole_values([body]))) if k == "quoted"] == ["1", "2"]
 
 
 def test_explode_lists_keeps_repeats_and_ignores_other_columns(spark):
