@@ -71,3 +71,21 @@ def drop_most_overlapping(edges: DataFrame) -> DataFrame:
             dropped = cut(dropped)
         left = cut(left.join(gone, left.a == gone.node, "left_anti").join(gone, F.col("b") == gone.node, "left_anti"))
     return dropped if dropped is not None else edges.select(F.col("a").alias("node")).limit(0)
+
+
+def keep_greedy(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """id of the nodes that are kept when they are walked from the largest *rank* down and one goes if a kept one is its neighbour.
+
+    nodes: id, rank (no two alike); edges: a, b. In each round every node that ranks above all neighbours left is kept and its neighbours go, which is
+    what the walk decides; nodes without edges are kept at once. Rounds go on until no edge is left and end with a checkpoint.
+    """
+    linked = cut(edges.join(nodes.select(F.col("id").alias("a"), F.col("rank").alias("ra")), "a").join(nodes.select(F.col("id").alias("b"), F.col("rank").alias("rb")), "b"))
+    both = linked.select(F.when(F.col("ra") > F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("high"), F.when(F.col("ra") > F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("low"))
+    left, gone = cut(both.distinct()), None
+    while not left.isEmpty():
+        top = left.select("high").distinct().join(left.select(F.col("low").alias("high")).distinct(), "high", "left_anti")
+        beaten = cut(left.join(top, "high", "left_semi").select("low").distinct())
+        gone = beaten if gone is None else gone.unionByName(beaten)
+        out = beaten.withColumnRenamed("low", "node")
+        left = cut(left.join(out, left.low == out.node, "left_anti").join(out, F.col("high") == out.node, "left_anti"))
+    return nodes.select("id") if gone is None else nodes.select("id").join(gone.select(F.col("low").alias("id")), "id", "left_anti")

@@ -56,7 +56,7 @@ def adjust(df: DataFrame, keys: list[str], p: str, method: str = "bh", name: str
     value = sized.select(*keys, "_p", (F.col("_p") * F.col("_m") * harmonic / (F.col("_b") + F.col("_c"))).alias("_q"))
     stepped = running_minima(value, keys, "_p", "_q")
     joined = df.alias("a").join(stepped.alias("b"), [*same("a", "b"), F.col(f"a.{p}") == F.col("b._p")], "left")
-    return joined.select("a.*", F.least(F.lit(1.0), F.col("b._q")).alias(name))
+    return joined.select("a.*", F.when(F.col("b._q").isNotNull(), F.least(F.lit(1.0), F.col("b._q"))).alias(name))
 
 
 def rank_sum_against_controls(df: DataFrame, key: str, group: str, value: str, control: object) -> DataFrame:

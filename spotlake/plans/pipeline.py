@@ -7,8 +7,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotlake.operators import images as im
-from spotlake.operators.folds import keep_in_order, sparse_centers
 from spotlake.operators.proximity import region_parts
 from spotlake.operators.spatial import region_measures
 from spotlake.plans import query
@@ -17,7 +15,6 @@ from spotlake.sources import layout as lo
 from spotlake.sources.views import MOLS_SQL, codebook, molecules
 from spotlake.streaming.molecules import molecule_stream, once_each, sessions, window_counts, write_batches
 
-BINS, TILE = 64, 2048.0
 
 
 def _planes(spark: SparkSession, d: str) -> DataFrame:
@@ -81,108 +78,6 @@ def catalog_rounds(spark: SparkSession, d: str) -> DataFrame:
     return lo.rounds_of_tiles(_catalog(spark, d)).withColumn("rounds", F.array_join("rounds", " "))
 
 
-_SITE = ["run_id", "fov"]
-_PLANE = [*_SITE, "z"]
-
-
-def _images(spark: SparkSession, d: str, *keys: str) -> DataFrame:
-    """The planes of every run, tile and z, or of other keys."""
-    return im.rasterize(molecules(spark, d).filter("fov IS NOT NULL"), list(keys) or _PLANE, "x", "y", TILE, BINS)
-
-
-@query("image_totals", f"WITH {MOLS_SQL} SELECT fov, z, CAST(count(*) AS DOUBLE) AS total FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY 1, 2")
-def image_totals(spark: SparkSession, d: str) -> DataFrame:
-    total = F.pandas_udf(lambda s: s.map(lambda b: float(im.plane(b).sum())), "double")
-    return _images(spark, d, "fov", "z").select("fov", "z", total("data").alias("total"))
-
-
-@query("run_image_totals", f"WITH {MOLS_SQL} SELECT run_id, fov, z, CAST(count(*) AS DOUBLE) AS total FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY 1, 2, 3")
-def run_image_totals(spark: SparkSession, d: str) -> DataFrame:
-    total = F.pandas_udf(lambda s: s.map(lambda b: float(im.plane(b).sum())), "double")
-    return _images(spark, d).select(*_PLANE, total("data").alias("total"))
-
-
-@query("image_pixel_histogram", f"WITH {MOLS_SQL}, p AS (SELECT fov, z, count(*) AS value FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY fov, z, floor(x / 32), floor(y / 32)) SELECT z, CAST(value AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS pixels FROM p GROUP BY 1, 2")
-def image_pixel_histogram(spark: SparkSession, d: str) -> DataFrame:
-    inside = molecules(spark, d).filter("fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048")
-    pixels = inside.groupBy("fov", "z", F.floor(F.col("x") / 32), F.floor(F.col("y") / 32)).agg(F.count(F.lit(1)).alias("value"))
-    return pixels.groupBy("z", "value").agg(F.count(F.lit(1)).alias("pixels"))
-
-
-@query("run_image_pixel_histogram", f"WITH {MOLS_SQL}, p AS (SELECT run_id, z, count(*) AS value FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY run_id, fov, z, floor(x / 32), floor(y / 32)) SELECT run_id, z, CAST(value AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS pixels FROM p GROUP BY 1, 2, 3")
-def run_image_pixel_histogram(spark: SparkSession, d: str) -> DataFrame:
-    inside = molecules(spark, d).filter("fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048")
-    pixels = inside.groupBy(*_PLANE, F.floor(F.col("x") / 32), F.floor(F.col("y") / 32)).agg(F.count(F.lit(1)).alias("value"))
-    return pixels.groupBy("run_id", "z", "value").agg(F.count(F.lit(1)).alias("pixels"))
-
-
-@query("image_high_pass_seeds")
-def image_high_pass_seeds(spark: SparkSession, d: str) -> DataFrame:
-    """Local maxima of the high-pass filtered planes."""
-    return im.seeds(im.map_planes(_images(spark, d), lambda a: im.high_pass(a, 2.0)), _PLANE, 2, 2.0)
-
-
-@query("image_sparse_seeds")
-def image_sparse_seeds(spark: SparkSession, d: str) -> DataFrame:
-    """The brightest seeds of each tile that keep a distance of 5 pixels over all planes."""
-    found = im.seeds(im.map_planes(_images(spark, d), lambda a: im.blur(a, 1.0)), _PLANE, 1, 1.0).withColumn("down", -F.col("h"))
-    return keep_in_order(found, _SITE, ["down", "z", "y", "x"], sparse_centers(["y", "x"], 5.0)).drop("down")
-
-
-@query("image_deconvolved_regions")
-def image_deconvolved_regions(spark: SparkSession, d: str) -> DataFrame:
-    """Connected regions of the deconvolved, clipped planes."""
-    sharp = im.map_planes(_images(spark, d), lambda a: im.clip_high(im.richardson_lucy(a, 1.0), 10.0))
-    return im.regions(sharp, _PLANE, 1.0)
-
-
-@query("image_shifts")
-def image_shifts(spark: SparkSession, d: str) -> DataFrame:
-    """The shift of every plane to the lowest one of its tile."""
-    return im.register(_images(spark, d), _SITE, "z", 0.0)
-
-
-@query("image_spot_traces")
-def image_spot_traces(spark: SparkSession, d: str) -> DataFrame:
-    """Intensities around the lowest plane's seeds in every registered plane."""
-    planes = _images(spark, d)
-    moved = im.apply_shifts(planes, im.register(planes, _SITE, "z", 0.0), _PLANE)
-    spots = im.seeds(planes.filter("z = 0"), _SITE, 2, 2.0)
-    return im.spot_traces(spots, moved, _SITE, "z", 1)
-
-
-@query("image_equalized_means")
-def image_equalized_means(spark: SparkSession, d: str) -> DataFrame:
-    """The mean of every plane after adaptive equalization, and of its brightest block of 8 x 8 pixels."""
-    even = im.map_planes(_images(spark, d), im.equalize)
-    mean = F.pandas_udf(lambda s: s.map(lambda b: float(im.plane(b).mean())), "double")
-    block = F.pandas_udf(lambda s: s.map(lambda b: float(im.block_means(im.plane(b), 8).max())), "double")
-    return even.select(*_PLANE, F.round(mean("data"), 5).alias("mean"), F.round(block("data"), 5).alias("block"))
-
-
-@query("image_spot_moments")
-def image_spot_moments(spark: SparkSession, d: str) -> DataFrame:
-    """Moment fits of the seeds of the blurred planes."""
-    soft = im.map_planes(_images(spark, d), lambda a: im.blur(a, 1.0))
-    return im.moments(soft, im.seeds(soft, _PLANE, 2, 2.0), _PLANE, 2)
-
-
-@query("image_z_projection", f"WITH {MOLS_SQL}, p AS (SELECT fov, z, floor(x / 32) AS px, floor(y / 32) AS py, count(*) AS n FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY 1, 2, 3, 4) SELECT fov, CAST(px AS INTEGER) AS px, CAST(py AS INTEGER) AS py, CAST(max(n) AS BIGINT) AS peak FROM p GROUP BY 1, 2, 3")
-def image_z_projection(spark: SparkSession, d: str) -> DataFrame:
-    """The brightest plane's count of every pixel."""
-    at = lambda c: F.floor(F.col(c) / 32).cast("int")
-    inside = molecules(spark, d).filter("fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048")
-    return inside.groupBy("fov", "z", at("x").alias("px"), at("y").alias("py")).agg(F.count(F.lit(1)).alias("n")).groupBy("fov", "px", "py").agg(F.max("n").alias("peak"))
-
-
-@query("run_image_z_projection", f"WITH {MOLS_SQL}, p AS (SELECT run_id, fov, z, floor(x / 32) AS px, floor(y / 32) AS py, count(*) AS n FROM mols WHERE fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048 GROUP BY 1, 2, 3, 4, 5) SELECT run_id, fov, CAST(px AS INTEGER) AS px, CAST(py AS INTEGER) AS py, CAST(max(n) AS BIGINT) AS peak FROM p GROUP BY 1, 2, 3, 4")
-def run_image_z_projection(spark: SparkSession, d: str) -> DataFrame:
-    """The brightest plane's count of every pixel of every run's tiles."""
-    at = lambda c: F.floor(F.col(c) / 32).cast("int")
-    inside = molecules(spark, d).filter("fov IS NOT NULL AND x >= 0 AND x < 2048 AND y >= 0 AND y < 2048")
-    return inside.groupBy(*_PLANE, at("x").alias("px"), at("y").alias("py")).agg(F.count(F.lit(1)).alias("n")).groupBy(*_SITE, "px", "py").agg(F.max("n").alias("peak"))
-
-
 _GOODM = f"WITH {MOLS_SQL}"
 
 
