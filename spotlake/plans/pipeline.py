@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from spotlake.operators.proximity import region_parts
 from spotlake.operators.spatial import region_measures
 from spotlake.plans import query
+from spotlake.plans.problems import _LISTS_SQL
+from spotlake.plans.spatial import _AREAS
 from spotlake.session import shared_checkpoints, table
 from spotlake.sources import layout as lo
 from spotlake.sources.views import MOLS_SQL, codebook, molecules
@@ -17,21 +19,26 @@ from spotlake.streaming.molecules import molecule_stream, once_each, sessions, w
 
 
 
+#: Frames and z of the layout's channels by slot, from the lists that problem 2 states.
+_LAYOUT = f"""WITH items AS ({_LISTS_SQL}), num AS (SELECT dorg_row, field, pos, TRY_CAST(replace(trim(item), ',', '.') AS DOUBLE) AS number FROM items),
+pl AS (SELECT dorg_row, pos AS plane, CAST(trunc(max(number) FILTER (field = 'frame')) AS INTEGER) AS frame, max(number) FILTER (field = 'zPos') AS z FROM num GROUP BY 1, 2)"""
+
+
 def _planes(spark: SparkSession, d: str) -> DataFrame:
     return lo.channel_planes(table(spark, d, "dataorganization"))
 
 
-@query("layout_planes")
+@query("layout_planes", f"{_LAYOUT} SELECT dorg_row, plane, frame, z FROM pl")
 def layout_planes(spark: SparkSession, d: str) -> DataFrame:
     return _planes(spark, d)
 
 
-@query("layout_frame_at_3")
+@query("layout_frame_at_3", f"{_LAYOUT} SELECT dorg_row, arg_min(frame, plane) AS frame FROM pl WHERE z = 3.0 AND frame IS NOT NULL GROUP BY 1")
 def layout_frame_at_3(spark: SparkSession, d: str) -> DataFrame:
     return lo.frame_at(_planes(spark, d), "dorg_row", 3.0)
 
 
-@query("layout_z_positions")
+@query("layout_z_positions", f"{_LAYOUT} SELECT DISTINCT z FROM pl WHERE z IS NOT NULL AND NOT isnan(z)")
 def layout_z_positions(spark: SparkSession, d: str) -> DataFrame:
     return lo.z_positions(_planes(spark, d))
 
@@ -111,7 +118,7 @@ def stream_hourly_counts(spark: SparkSession, d: str) -> DataFrame:
     return window_counts(kept, "decoded_at", "fov", "1 hour").drop("total")
 
 
-@query("cell_metadata")
+@query("cell_metadata", f"{_AREAS} SELECT m.region_id AS id, round(avg(m.area), 4) AS area, CAST(count(*) AS BIGINT) AS planes, f.z, f.fov, f.x, f.y FROM measure m JOIN (SELECT id, min(struct_pack(z := z, fov := fov, x := x, y := y)) AS s FROM cells GROUP BY 1) c ON c.id = m.region_id CROSS JOIN LATERAL (SELECT s.z AS z, s.fov AS fov, s.x AS x, s.y AS y) f GROUP BY ALL")
 def cell_metadata(spark: SparkSession, d: str) -> DataFrame:
     """One row for each cell: mean area over its planes, planes, and its tile, place and lowest plane."""
     measures = region_measures(region_parts(table(spark, d, "cells"), "id", "geometry", "z")).groupBy(F.col("region_id").alias("id")).agg(F.round(F.avg("area"), 4).alias("area"), F.count(F.lit(1)).alias("planes"))

@@ -68,7 +68,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return explode_lists(table(spark, d, "dataorganization"), "dorg_row", ["frame", "zPos"]).distinct()
 
 
-_PLACES_SQL = r"""
+#: Molecules, near pairs, and polygons with their edges, up to which molecule lies on which side.
+PLACES_SQL = r"""
 WITH pt AS (SELECT DISTINCT molecule_id AS id, CAST(round(global_x * 1000) AS BIGINT) AS x, CAST(round(global_y * 1000) AS BIGINT) AS y, z FROM molecules WHERE global_x IS NOT NULL AND NOT isnan(global_x) AND global_y IS NOT NULL AND NOT isnan(global_y)),
 c AS (SELECT DISTINCT id, x, y, CAST(floor(x / 400.0) AS BIGINT) AS cx, CAST(floor(y / 400.0) AS BIGINT) AS cy FROM pt),
 w1 AS (SELECT id, x, y, cx + unnest([-1, 0, 1]) AS cx, cy FROM c), w AS (SELECT id, x, y, cx, cy + unnest([-1, 0, 1]) AS cy FROM w1),
@@ -82,12 +83,12 @@ cand AS (SELECT b.id, b.z, b.part, pt.id AS m, pt.x, pt.y FROM box b JOIN pt ON
 side AS (SELECT m, id, part, count(*) FILTER (((ay > y) <> (qy > y)) AND ((qy > ay) = (((qx - ax) * (y - ay) - (qy - ay) * (x - ax)) > 0))) AS crossings,
   count(*) FILTER (((qx - ax) * (y - ay) = (qy - ay) * (x - ax)) AND x BETWEEN least(ax, qx) AND greatest(ax, qx) AND y BETWEEN least(ay, qy) AND greatest(ay, qy)) AS on_edge
   FROM cand JOIN edge USING (id, z, part) GROUP BY m, id, part, x, y, z)
-SELECT 'near' AS relation, a AS molecule_id, CAST(b AS VARCHAR) AS other_id FROM near
-UNION ALL SELECT DISTINCT 'inside', m, id FROM side WHERE on_edge = 0 AND crossings % 2 = 1
 """
+_FOUND_SQL = f"""{PLACES_SQL} SELECT 'near' AS relation, a AS molecule_id, CAST(b AS VARCHAR) AS other_id FROM near
+UNION ALL SELECT DISTINCT 'inside', m, id FROM side WHERE on_edge = 0 AND crossings % 2 = 1"""
 
 
-@query("p4_found", _PLACES_SQL)
+@query("p4_found", _FOUND_SQL)
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     points = places(table(spark, d, "molecules"), "molecule_id", "global_x", "global_y", "z")
     regions = region_parts(table(spark, d, "cells"), "id", "geometry", "z")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spotlake.operators import graphs, spatial as sp
 from spotlake.operators.proximity import containing_regions, near_pairs, overlapping_regions, places, region_parts
 from spotlake.plans import query
+from spotlake.plans.problems import PLACES_SQL
 from spotlake.plans.quality import PIXEL, WIDTH
 from spotlake.session import table
 from spotlake.sources.views import MOLS_SQL, cells, molecules
@@ -174,17 +175,37 @@ def dense_molecules_dropped(spark: SparkSession, d: str) -> DataFrame:
     return graphs.drop_most_overlapping(near_pairs(_points(spark, d), 1.0).select(F.col("id").alias("a"), F.col("other_id").alias("b")))
 
 
+#: Areas of polygons (of their outer rings less the holes), in square micrometres, by cell and plane.
+_AREAS = f"""{PLACES_SQL}, ring_area AS (SELECT id, z, part, k, abs(sum(list_reduce([(p[i][1] - p[1][1]) * (p[i % len(p) + 1][2] - p[1][2]) - (p[i % len(p) + 1][1] - p[1][1]) * (p[i][2] - p[1][2])], lambda u, v: u + v))) / 2000000.0 AS a
+ FROM (SELECT id, z, part, k, p, unnest(range(1, len(p) + 1)) AS i FROM pts WHERE len(p) > 2) GROUP BY 1, 2, 3, 4),
+measure AS (SELECT r.id AS region_id, r.z, r.area, b.x0 / 1000.0 AS min_x, b.x1 / 1000.0 AS max_x, b.y0 / 1000.0 AS min_y, b.y1 / 1000.0 AS max_y
+ FROM (SELECT id, z, sum(CASE WHEN k = 1 THEN a ELSE -a END) AS area FROM ring_area GROUP BY 1, 2) r JOIN (SELECT id, z, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1 FROM box GROUP BY 1, 2) b ON b.id = r.id AND b.z IS NOT DISTINCT FROM r.z)"""
+_VOLUME = """, vol AS (SELECT region_id, count(*) AS planes, CASE WHEN count(*) = 1 THEN max(area) ELSE sum(slab) END AS volume
+ FROM (SELECT region_id, area, (lead(z) OVER w - z) * (lead(area) OVER w + area) / 2 AS slab FROM measure WINDOW w AS (PARTITION BY region_id ORDER BY z)) GROUP BY 1)"""
+_ASSIGNED = f"{PLACES_SQL}, {MOLS_SQL}, assigned AS (SELECT m AS molecule_id, min(id) AS cell FROM side WHERE on_edge = 0 AND crossings % 2 = 1 GROUP BY 1)"
+#: Cells whose borders cross, or of which a corner or the middle of an edge lies inside the other.
+_OVERLAPS = f"""{PLACES_SQL}, pair AS (SELECT a.id AS ia, a.part AS pa, b.id AS ib, b.part AS pb, a.z FROM box a JOIN box b ON a.z = b.z AND a.id <> b.id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1),
+crossed AS (SELECT DISTINCT ia, ib FROM pair JOIN edge e ON e.id = ia AND e.part = pa AND e.z = pair.z JOIN edge f ON f.id = ib AND f.part = pb AND f.z = pair.z
+ WHERE sign((e.qx - e.ax) * (f.ay - e.ay) - (e.qy - e.ay) * (f.ax - e.ax)) * sign((e.qx - e.ax) * (f.qy - e.ay) - (e.qy - e.ay) * (f.qx - e.ax)) < 0
+ AND sign((f.qx - f.ax) * (e.ay - f.ay) - (f.qy - f.ay) * (e.ax - f.ax)) * sign((f.qx - f.ax) * (e.qy - f.ay) - (f.qy - f.ay) * (e.qx - f.ax)) < 0),
+corner AS (SELECT DISTINCT ia, ib, pb, pair.z, 2 * e.ax AS x, 2 * e.ay AS y FROM pair JOIN edge e ON e.id = ia AND e.part = pa AND e.z = pair.z UNION SELECT ia, ib, pb, pair.z, e.ax + e.qx, e.ay + e.qy FROM pair JOIN edge e ON e.id = ia AND e.part = pa AND e.z = pair.z),
+held AS (SELECT ia, ib FROM corner JOIN edge e ON e.id = ib AND e.part = pb AND e.z = corner.z GROUP BY ia, ib, pb, corner.z, x, y
+ HAVING count(*) FILTER (((2 * ay > y) <> (2 * qy > y)) AND ((qy > ay) = ((2 * (qx - ax) * (y - 2 * ay) - 2 * (qy - ay) * (x - 2 * ax)) > 0))) % 2 = 1
+ AND count(*) FILTER (((qx - ax) * (y - 2 * ay) = (qy - ay) * (x - 2 * ax)) AND x BETWEEN 2 * least(ax, qx) AND 2 * greatest(ax, qx) AND y BETWEEN 2 * least(ay, qy) AND 2 * greatest(ay, qy)) = 0),
+overlap AS (SELECT DISTINCT least(ia, ib) AS a, greatest(ia, ib) AS b FROM (SELECT ia, ib FROM crossed UNION ALL SELECT ia, ib FROM held))"""
+
+
 def _parts(spark: SparkSession, d: str) -> DataFrame:
     return region_parts(table(spark, d, "cells"), "id", "geometry", "z")
 
 
-@query("cell_measures")
+@query("cell_measures", f"{_AREAS} SELECT region_id, z, round(area, 4) AS area, min_x, max_x, min_y, max_y FROM measure")
 def cell_measures(spark: SparkSession, d: str) -> DataFrame:
     """Area and box of every cell on every plane (outer ring less holes)."""
     return sp.region_measures(_parts(spark, d)).withColumn("area", F.round("area", 4))
 
 
-@query("cell_volumes")
+@query("cell_volumes", f"{_AREAS}{_VOLUME} SELECT region_id, CAST(planes AS BIGINT) AS planes, round(volume, 4) AS volume FROM vol")
 def cell_volumes(spark: SparkSession, d: str) -> DataFrame:
     return sp.region_volume(sp.region_measures(_parts(spark, d))).withColumn("volume", F.round("volume", 4))
 
@@ -194,7 +215,7 @@ def cell_rows(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).filter("geometry IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("polygons"), F.count_distinct("z").alias("planes"), F.min("fov").alias("fov"), F.min("z").alias("z"))
 
 
-@query("assigned_counts")
+@query("assigned_counts", f"{_ASSIGNED} SELECT cell, barcode_id AS gene, CAST(count(*) AS BIGINT) AS n FROM assigned JOIN mols USING (molecule_id) GROUP BY 1, 2")
 def assigned_counts(spark: SparkSession, d: str) -> DataFrame:
     """Cell by gene counts by the cells' polygons: a molecule belongs to the least id of the cells that hold it."""
     pts = _points(spark, d, "z", "barcode_id")
@@ -203,7 +224,7 @@ def assigned_counts(spark: SparkSession, d: str) -> DataFrame:
     return named.groupBy(F.col("cell_id").alias("cell"), F.col("barcode_id").alias("gene")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("cell_overlaps")
+@query("cell_overlaps", f"{_OVERLAPS} SELECT a, b FROM overlap")
 def cell_overlaps(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of cells whose insides meet on a plane."""
     return overlapping_regions(_parts(spark, d), "z")

@@ -101,21 +101,31 @@ def read_microscope(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True).select(*[F.coalesce(F.col(k), F.lit(v)).alias(k) for k, v in MICROSCOPE.items()])
 
 
-def covering_codes(df: DataFrame, text: str, bits: int) -> DataFrame:
-    """bits (array) of rows of one-based on-bits separated by white space; lines with marks of a web page or without numbers are left out."""
+def filter_files(df: DataFrame, path: str, extensions: list[str], pattern: str | None = None) -> DataFrame:
+    """Rows whose path ends with one of the extensions, in any case, and holds the pattern."""
+    name = F.lower(F.col(path))
+    ends = F.lit(False)
+    for e in extensions:
+        ends |= F.endswith(name, F.lit(e.lower()))
+    return df.filter(ends if pattern is None else ends & F.col(path).rlike(pattern))
+
+
+def covering_codes(df: DataFrame, text: str, bits: int, *keep: str) -> DataFrame:
+    """bits (array) and the kept columns of rows of one-based on-bits separated by white space; lines with marks of a web page or without numbers are left out."""
     on = F.transform(F.split(F.trim(text), r"\s+"), lambda x: x.cast("int"))
     rows = df.filter(~F.contains(text, F.lit("<")) & F.col(text).rlike(r"^\s*\d+(\s+\d+)*\s*$"))
-    return rows.select(F.transform(F.sequence(F.lit(1), F.lit(bits)), lambda i: F.array_contains(on, i).cast("int")).alias("bits"))
+    return rows.select(*keep, F.transform(F.sequence(F.lit(1), F.lit(bits)), lambda i: F.array_contains(on, i).cast("int")).alias("bits"))
 
 
 def parse_frame_info(lines: DataFrame, path: str = "path", text: str = "value") -> DataFrame:
-    """path, width, height, frames and endian of the `key = value` lines that describe a frame file; null where a line is missing."""
+    """path, width, height (256 where they aren't given), frames, endian, stage_x, stage_y, lock_target, scale_max and scale_min of the `key = value` lines that describe a frame file; the others are null where a line is missing."""
     number = lambda p: F.max(F.when(F.regexp_extract(text, p, 1) != "", F.regexp_extract(text, p, 1)))
     return lines.groupBy(path).agg(
-        number(r"frame dimensions\s*=\s*(\d+)\s*x").cast("int").alias("width"),
-        number(r"frame dimensions\s*=\s*\d+\s*x\s*(\d+)").cast("int").alias("height"),
+        F.coalesce(number(r"frame dimensions\s*=\s*(\d+)\s*x").cast("int"), F.lit(256)).alias("width"),
+        F.coalesce(number(r"frame dimensions\s*=\s*\d+\s*x\s*(\d+)").cast("int"), F.lit(256)).alias("height"),
         number(r"number of frames\s*=\s*(\d+)").cast("int").alias("frames"),
-        number(r"data type\s*=\s*.*\((\w+) endian\)").alias("endian"),
+        number(r"[ (](big|little) endian").alias("endian"),
+        *[number(rf"^{key} = (-?\d+(?:\.\d+)?)").cast("double").alias(name) for key, name in (("Stage X", "stage_x"), ("Stage Y", "stage_y"), ("Lock Target", "lock_target"), ("scalemax", "scale_max"), ("scalemin", "scale_min"))],
     )
 
 

@@ -25,6 +25,11 @@ def write_codebook(codebook: DataFrame, bits: list[str], path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
+def write_microscope(fields: DataFrame, path: str) -> None:
+    """One row of fields as a JSON file."""
+    fields.coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_probe_report(report: DataFrame, path: str) -> None:
     """A CSV report sorted by probe and region, commas in text as semicolons."""
     text = [F.regexp_replace(c, ",", ";").alias(c) if t == "string" else F.col(c) for c, t in report.dtypes]
