@@ -55,8 +55,8 @@ def near_pairs(points: DataFrame, radius: float, cells_per_radius: int = 4) -> D
 
 
 #: The polygons of a well-known text, each with its rings: two or three levels of brackets, numbers in any notation.
-_PART = r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)"
-_RINGS = rf"""
+PART_PATTERN = r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)"
+RINGS_EXPR = rf"""
 transform(regexp_extract_all(part, '\\(([^()]*)\\)', 1), r ->
   transform(split(trim(r), '\\s*,\\s*'), p -> named_struct(
     'x', cast(round(try_cast(split(trim(p), '\\s+')[0] as double) * {UNITS}) as bigint),
@@ -67,7 +67,7 @@ flatten(transform(rings, r -> transform(sequence(0, size(r) - 1), i -> named_str
   'ax', r[i].x, 'ay', r[i].y, 'bx', r[(i + 1) % size(r)].x, 'by', r[(i + 1) % size(r)].y))))
 """
 #: The outer ring's area less the holes', whatever the rings' directions, in square micrometres.
-_AREA = f"""
+AREA_EXPR = f"""
 aggregate(transform(rings, r -> abs(aggregate(sequence(0, size(r) - 1), cast(0 as bigint), (s, i) -> s
     + (r[i].x - r[0].x) * (r[(i + 1) % size(r)].y - r[0].y) - (r[(i + 1) % size(r)].x - r[0].x) * (r[i].y - r[0].y)))
   / (2.0D * {UNITS} * {UNITS})), struct(0 AS k, 0.0D AS a), (t, x) -> struct(t.k + 1 AS k, t.a + IF(t.k = 0, x, -x) AS a), t -> t.a)
@@ -93,11 +93,11 @@ def region_parts(df: DataFrame, id_column: str, wkt: str, *keep: str) -> DataFra
     """
     return (
         df.filter(F.col(id_column).isNotNull() & F.col(wkt).isNotNull())
-        .select(F.col(id_column).alias("region_id"), *keep, F.explode(F.regexp_extract_all(F.col(wkt), F.lit(_PART), F.lit(0))).alias("part"))
+        .select(F.col(id_column).alias("region_id"), *keep, F.explode(F.regexp_extract_all(F.col(wkt), F.lit(PART_PATTERN), F.lit(0))).alias("part"))
         .distinct()
-        .select("region_id", *keep, F.expr(f"filter({_RINGS}, r -> size(r) > 2)").alias("rings"))
+        .select("region_id", *keep, F.expr(f"filter({RINGS_EXPR}, r -> size(r) > 2)").alias("rings"))
         .filter("size(rings) > 0 AND NOT exists(rings, r -> exists(r, p -> p.x IS NULL OR p.y IS NULL))")
-        .select("region_id", *keep, F.expr(_EDGES).alias("edges"), F.expr(_AREA).alias("area"))
+        .select("region_id", *keep, F.expr(_EDGES).alias("edges"), F.expr(AREA_EXPR).alias("area"))
         .select(
             "*",
             *(F.expr(f"array_{f}(transform(edges, e -> e.a{c}))").alias(f"{f}_{c}") for f in ("min", "max") for c in "xy"),

@@ -101,17 +101,20 @@ def tile_scale_fit(spark: SparkSession, d: str) -> DataFrame:
     return good.groupBy("run_id", "fov").agg(F.round(F.regr_slope("global_x", "x"), 8).alias("slope"), F.round(F.regr_intercept("global_x", "x"), 4).alias("origin"), F.round(F.regr_r2("global_x", "x"), 8).alias("r2"))
 
 
-@query(
-    "plane_label_overlaps",
-    f"""{_M}, px AS (SELECT DISTINCT cell_index AS label, z, run_id, fov, floor(x / 64) AS px, floor(y / 64) AS py FROM mols WHERE cell_index > 0 AND fov IS NOT NULL),
+LABELS_SQL = f"""WITH RECURSIVE {MOLS_SQL}, px AS (SELECT DISTINCT cell_index AS label, z, run_id, fov, floor(x / 64) AS px, floor(y / 64) AS py FROM mols WHERE cell_index > 0 AND fov IS NOT NULL),
 s AS (SELECT label, z, count(*) AS size FROM px GROUP BY 1, 2), c AS (SELECT a.label, a.z, b.label AS other, b.z AS oz, count(*) AS both_n FROM px a JOIN px b ON b.z = a.z + 1.5 AND a.run_id = b.run_id AND a.fov = b.fov AND a.px = b.px AND a.py = b.py GROUP BY 1, 2, 3, 4),
-f AS (SELECT c.label, c.z, c.other, both_n / s.size AS f0, both_n / o.size AS f1 FROM c JOIN s ON s.label = c.label AND s.z = c.z JOIN s o ON o.label = c.other AND o.z = c.oz)
-SELECT label, z, other FROM (SELECT *, row_number() OVER (PARTITION BY label, z ORDER BY round(f0 + f1, 9) DESC, other) AS k FROM f WHERE f0 > 0.2 AND f1 > 0.2) WHERE k = 1""",
-)
-def plane_label_overlaps(spark: SparkSession, d: str) -> DataFrame:
+f AS (SELECT c.label, c.z, c.other, both_n / s.size AS f0, both_n / o.size AS f1 FROM c JOIN s ON s.label = c.label AND s.z = c.z JOIN s o ON o.label = c.other AND o.z = c.oz)"""
+
+
+def _label_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """The pixels (of 64 camera pixels) of every mask label and plane."""
     place = F.struct("run_id", "fov", F.floor(F.col("x") / 64).alias("px"), F.floor(F.col("y") / 64).alias("py"))
-    pixels = molecules(spark, d).filter("cell_index > 0 AND fov IS NOT NULL").select(F.col("cell_index").alias("label"), "z", place.alias("place")).distinct()
-    return mo.label_overlaps(pixels, PLANE_STEP, 0.2)
+    return molecules(spark, d).filter("cell_index > 0 AND fov IS NOT NULL").select(F.col("cell_index").alias("label"), "z", place.alias("place")).distinct()
+
+
+@query("plane_label_overlaps", f"{LABELS_SQL} SELECT label, z, other FROM (SELECT *, row_number() OVER (PARTITION BY label, z ORDER BY round(f0 + f1, 9) DESC, other) AS k FROM f WHERE f0 > 0.2 AND f1 > 0.2) WHERE k = 1")
+def plane_label_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return mo.label_overlaps(_label_pixels(spark, d), PLANE_STEP, 0.2)
 
 
 @query(
