@@ -125,9 +125,14 @@ def probe_filter(spark: SparkSession, d: str) -> DataFrame:
     return pb.filter_probes(probes(spark, d), "seq", (0.4, 0.6), (55.0, 75.0)).select("probe_id", F.round("gc", 9).alias("gc"), F.round("tm", 6).alias("tm"))
 
 
-@query("probe_select")
+@query(
+    "probe_select",
+    f"""WITH RECURSIVE {PROBES_SQL}, l AS (SELECT gene_id, transcript_id, list(struct_pack(s := shift, i := probe_id, e := shift + length(seq)) ORDER BY shift, probe_id) AS l FROM probe WHERE transcript_id IS NOT NULL AND shift IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT gene_id, transcript_id, l, l[1] AS now FROM l UNION ALL SELECT gene_id, transcript_id, l, list_filter(l, lambda x: x.s >= r.now.e)[1] AS now FROM r WHERE len(list_filter(l, lambda x: x.s >= r.now.e)) > 0)
+SELECT probe.* FROM r JOIN probe ON probe.probe_id = r.now.i""",
+)
 def probe_select(spark: SparkSession, d: str) -> DataFrame:
-    """Non-overlapping probes of each transcript (an ordered fold, which SQL can't state plainly)."""
+    """Non-overlapping probes of each transcript."""
     shifted = probes(spark, d).filter("transcript_id IS NOT NULL")
     return pb.select_no_overlap(shifted, ["gene_id", "transcript_id"], "shift", "seq", "probe_id")
 
