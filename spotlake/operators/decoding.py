@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotlake.operators.ranking import exact_quantiles
 from spotlake.session import cut, measured
 
 #: Codewords that are sent to every task at once; a larger codebook takes several passes over the traces.
@@ -35,8 +36,8 @@ def long_bits(df: DataFrame, keys: list[str], trace: str) -> DataFrame:
 
 
 def bit_quantiles(df: DataFrame, trace: str, high: float = 0.95, low: float = 0.05) -> DataFrame:
-    """bit, scale, background: the exact quantiles of each bit's values."""
-    return long_bits(df, [], trace).groupBy("bit").agg(F.percentile("value", F.lit(high)).alias("scale"), F.percentile("value", F.lit(low)).alias("background"))
+    """bit, scale, background: the exact quantiles of each bit's values, by counts and running sums."""
+    return exact_quantiles(long_bits(df, [], trace), ["bit"], "value", {"scale": high, "background": low})
 
 
 def rescale(df: DataFrame, key: str, trace: str, factors: DataFrame) -> DataFrame:

@@ -25,9 +25,11 @@ def places(df: DataFrame, id_column: str, x: str, y: str, *keep: str) -> DataFra
     return out.filter(F.col("px").isNotNull() & F.col("py").isNotNull() & F.col("id").isNotNull())
 
 
-def near_pairs(points: DataFrame, radius: float, cells_per_radius: int = 4) -> DataFrame:
+def near_pairs(points: DataFrame, radius: float, cells_per_radius: int = 4, keep: str | None = None) -> DataFrame:
     """Pairs (id, other_id), id < other_id, of *points* (of places()) at most *radius* apart, each once.
 
+    With *keep*, a column that each id has one value of, the pairs have it of both (keep, other_keep).
+
     Points are hashed to square grid cells of cells_per_radius radii. One side stands in its own cell, the other in every
     cell within the radius (about (1 + 2/cells_per_radius)^2 copies), so each pair meets in the cell of the smaller id only; the
     exact distance is verified in whole units inside the join. Repeated rows of a point are merged before the join. The
@@ -36,20 +38,21 @@ def near_pairs(points: DataFrame, radius: float, cells_per_radius: int = 4) -> D
     """
     r = round(radius * UNITS)
     size = r * cells_per_radius
-    once = points.select("id", "px", "py").distinct()
-    own = once.select("id", "px", "py", _cell(F.col("px"), size).alias("cx"), _cell(F.col("py"), size).alias("cy"))
+    mine, theirs = ([keep], [f"other_{keep}"]) if keep else ([], [])
+    once = points.select("id", "px", "py", *mine).distinct()
+    own = once.select("id", "px", "py", *mine, _cell(F.col("px"), size).alias("cx"), _cell(F.col("py"), size).alias("cy"))
 
     def reach(c: str) -> Column:
         return F.explode(F.sequence(_cell(F.col(c) - r, size), _cell(F.col(c) + r, size)))
 
-    other = once.select(F.col("id").alias("other_id"), F.col("px").alias("ox"), F.col("py").alias("oy"), reach("px").alias("cx"), "py").select(
-        "other_id", "ox", "oy", "cx", reach("py").alias("cy")
+    other = once.select(F.col("id").alias("other_id"), *[F.col(m).alias(t) for m, t in zip(mine, theirs)], F.col("px").alias("ox"), F.col("py").alias("oy"), reach("px").alias("cx"), "py").select(
+        "other_id", *theirs, "ox", "oy", "cx", reach("py").alias("cy")
     )
     dx, dy = F.col("px") - F.col("ox"), F.col("py") - F.col("oy")
     return (
         own.join(other, ["cx", "cy"])
         .filter((F.col("id") < F.col("other_id")) & (dx * dx + dy * dy <= r * r))
-        .select("id", "other_id")
+        .select("id", "other_id", *mine, *theirs)
         .distinct()
     )
 

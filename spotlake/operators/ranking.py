@@ -41,6 +41,24 @@ def running_minima(df: DataFrame, keys: list[str], order: str, value: str) -> Da
     return local.alias("a").join(rest.alias("b"), same).select(*[F.col(f"a.{c}") for c in df.columns if c != value], F.least("a._in", "b._off").alias(value))
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """keys and, for each name in *quantiles*, the interpolated quantile of the rows' values; null and NaN values don't count.
+
+    Values are counted first, then the counts' running sums say which values hold the ranks on either side, so no task holds all values of a key.
+    """
+    good = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = cut(good)
+    size = counted.groupBy(*keys).agg(F.sum("_n").alias("_m"))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys] or F.lit(True)
+    ranked = running_sums(counted, keys, ["_v"], {"_b": F.col("_n")}).alias("a").join(size.alias("b"), same("a", "b")).select("a.*", "_m")
+    at = {n: F.lit(float(q)) * (F.col("_m") - 1) for n, q in quantiles.items()}
+    holds = lambda rank: (F.col("_b") <= rank) & (rank < F.col("_b") + F.col("_n"))
+    low = {n: F.max(F.when(holds(F.floor(p)), F.col("_v"))) for n, p in at.items()}
+    high = {n: F.max(F.when(holds(F.ceil(p)), F.col("_v"))) for n, p in at.items()}
+    part = {n: F.max(p - F.floor(p)) for n, p in at.items()}
+    return ranked.groupBy(*keys).agg(*[(low[n] + (high[n] - low[n]) * part[n]).alias(n) for n in quantiles])
+
+
 def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str = "row") -> DataFrame:
     """*df* with the number of each row from 0 in *order* within its keys; rows must differ in keys and order."""
     return running_sums(df, keys, order, {name: F.lit(1).cast("bigint")})

@@ -62,10 +62,8 @@ def isolated(points: DataFrame, radius: float) -> DataFrame:
 
 def contact_counts(points: DataFrame, types: DataFrame, radius: float) -> DataFrame:
     """Directed contacts between types: type_a, type_b, n, over pairs of points within *radius*. types: id, type."""
-    pairs = near_pairs(points, radius)
-    a = types.select("id", F.col("type").alias("ta"))
-    b = types.select(F.col("id").alias("other_id"), F.col("type").alias("tb"))
-    both = pairs.join(a, "id").join(b, "other_id").groupBy("ta", "tb").agg(F.count(F.lit(1)).alias("n"))
+    typed = points.select("id", "px", "py").join(types.select("id", F.col("type").alias("t")).distinct(), "id")
+    both = near_pairs(typed, radius, keep="t").groupBy(F.col("t").alias("ta"), F.col("other_t").alias("tb")).agg(F.count(F.lit(1)).alias("n"))
     return both.unionByName(both.select(F.col("tb").alias("ta"), F.col("ta").alias("tb"), "n")).groupBy(F.col("ta").alias("type_a"), F.col("tb").alias("type_b")).agg(F.sum("n").alias("n"))
 
 

@@ -9,13 +9,14 @@ from spotlake.functions import sequences as sq
 from spotlake.operators import models as mo
 from spotlake.operators import probes as pb
 from spotlake.operators.quality import with_code
+from spotlake.operators.ranking import exact_quantiles
 from spotlake.operators.spatial import contact_counts
 from spotlake.operators.stats import permuted
 from spotlake.plans import query
 from spotlake.plans.decoding import _CODES as _TRACES_SQL
 from spotlake.plans.decoding import _traces
 from spotlake.plans.probes import FORWARD, REVERSE, _rc
-from spotlake.plans.spatial import PLANE_STEP, _links, _near, _points
+from spotlake.plans.spatial import _LINK, PLANE_STEP, _links, _near, _points
 from spotlake.session import table
 from spotlake.sources.views import CODES_SQL, MOLS_SQL, PROBES_SQL, TRANSCRIPTS_SQL, codebook, molecules, probes, transcripts
 
@@ -46,13 +47,25 @@ def code_clusters(spark: SparkSession, d: str) -> DataFrame:
     return mo.single_linkage(pb.hamming_pairs(codes), codes.select(F.col("barcode_id").alias("item")), "distance", 2)
 
 
-@query("propagated_labels")
+def _voted(rounds: int) -> str:
+    made = _LINK + ", ways AS (SELECT a, b FROM best UNION SELECT b, a FROM best), l0 AS (SELECT DISTINCT a AS node, a AS label FROM ways)"
+    for i in range(rounds):
+        made += f""", l{i + 1} AS (SELECT node, label FROM (SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, label) AS k
+ FROM (SELECT ways.a AS node, label FROM ways JOIN l{i} ON l{i}.node = ways.b UNION ALL SELECT node, label FROM l{i}) GROUP BY 1, 2) WHERE k = 1)"""
+    return f"{made} SELECT node, label FROM l{rounds}"
+
+
+@query("propagated_labels", _voted(4))
 def propagated_labels(spark: SparkSession, d: str) -> DataFrame:
     """Communities of the links between planes."""
     return mo.propagate_labels(_links(spark, d))
 
 
-@query("codes_kept")
+@query(
+    "codes_kept",
+    f"""{_C}, k AS (SELECT list_reduce(list([code] ORDER BY barcode_id), lambda kept, c: CASE WHEN len(list_filter(kept, lambda x: bit_count(xor(x, c[1])) < 4)) = 0 THEN list_concat(kept, c) ELSE kept END) AS kept FROM codes)
+SELECT min(barcode_id) AS barcode_id, arg_min(name, barcode_id) AS name, code FROM codes WHERE code IN (SELECT unnest(kept) FROM k) GROUP BY code""",
+)
 def codes_kept(spark: SparkSession, d: str) -> DataFrame:
     """Codes that differ from all kept before them in at least 4 bits."""
     return mo.choose_codes(codebook(spark, d), 4)
@@ -134,7 +147,7 @@ def bit_cdf_scale(spark: SparkSession, d: str) -> DataFrame:
 def tile_scale_means(spark: SparkSession, d: str) -> DataFrame:
     """Over tiles (labels), the mean of the quantiles of each bit, and the median of the high ones."""
     values = _traces(spark, d).select("label", F.posexplode("trace").alias("bit", "value"))
-    per = values.groupBy("label", "bit").agg(F.percentile("value", F.lit(0.95)).alias("s"), F.percentile("value", F.lit(0.05)).alias("b"))
+    per = exact_quantiles(values, ["label", "bit"], "value", {"s": 0.95, "b": 0.05})
     return per.groupBy("bit").agg(F.round(F.avg("s"), 6).alias("scale"), F.round(F.avg("b"), 6).alias("background"), F.round(F.median("s"), 6).alias("middle"))
 
 

@@ -101,7 +101,12 @@ def image_bright_seeds(spark: SparkSession, d: str) -> DataFrame:
     return px.bright_scores(px.maxima(_high(spark, d), _PLANE, 2, 0.5, SIDE), _PLANE, 0.75)
 
 
-@query("image_sparse_seeds")
+_SPARSE = f"""{_PIX}, soft AS {_convolved('pix', _SOFT)}, s AS {_peaks('soft', 1, 0.3)},
+k AS (SELECT run_id, fov, list_reduce(list([struct_pack(z := z, py := py, px := px, h := h)] ORDER BY h DESC, z, py, px), lambda kept, c: CASE WHEN len(list_filter(kept, lambda o: abs(o.py - c[1].py) <= 5 AND abs(o.px - c[1].px) <= 5)) = 0 THEN list_concat(kept, c) ELSE kept END) AS kept FROM s GROUP BY 1, 2)
+SELECT run_id, fov, u.z AS z, u.py AS py, u.px AS px, u.h AS h FROM (SELECT run_id, fov, unnest(kept) AS u FROM k)"""
+
+
+@query("image_sparse_seeds", _SPARSE)
 def image_sparse_seeds(spark: SparkSession, d: str) -> DataFrame:
     """The brightest seeds of each tile that keep a distance of 5 pixels over all planes."""
     soft = px.convolve(_pixels(spark, d), _PLANE, _SOFT, SIDE)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spotlake.operators import stats as st
 from spotlake.operators.cellcounts import group_means
-from spotlake.operators.ranking import row_numbers
+from spotlake.operators.ranking import exact_quantiles, row_numbers
 from spotlake.plans import query
 from spotlake.plans.cellcounts import _COUNTS, _GROUPS, _READS, _counts, _groups, reads, screen_z
 from spotlake.session import table
@@ -132,4 +132,7 @@ def permutation_pvalues(spark: SparkSession, d: str) -> DataFrame:
 
 @query("bit_quantiles", "SELECT event_type AS bit, round(quantile_cont(value, 0.95), 6) AS high, round(quantile_cont(value, 0.05), 6) AS low, round(median(CASE WHEN value > 0 THEN value END), 6) AS middle FROM events GROUP BY 1")
 def bit_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("bit")).agg(F.round(F.percentile("value", F.lit(0.95)), 6).alias("high"), F.round(F.percentile("value", F.lit(0.05)), 6).alias("low"), F.round(F.median(F.when(F.col("value") > 0, F.col("value"))), 6).alias("middle"))
+    values = table(spark, d, "events").select(F.col("event_type").alias("bit"), "value")
+    ends = exact_quantiles(values, ["bit"], "value", {"high": 0.95, "low": 0.05})
+    middle = exact_quantiles(values.filter("value > 0"), ["bit"], "value", {"middle": 0.5})
+    return ends.join(middle, "bit", "left").select("bit", *[F.round(c, 6).alias(c) for c in ("high", "low", "middle")])
