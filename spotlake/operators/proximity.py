@@ -111,14 +111,15 @@ def region_parts(df: DataFrame, id_column: str, wkt: str, *keep: str) -> DataFra
 def containing_regions(points: DataFrame, regions: DataFrame, plane: str, tile: float = 32.0) -> DataFrame:
     """Pairs (id, region_id) of points strictly inside a region on the same *plane*, each once.
 
-    Regions (of region_parts()) are put into every tile of *tile* micrometres that their box meets, points into one tile; the
-    equi-join is on plane and tile, so AQE can split a hot tile. The box, then exact point-in-polygon arithmetic in
+    Regions (of region_parts()) are put into every tile of *tile* micrometres that their box meets, with the edges that meet the tile's
+    rows (others can't cross a point's row), points into one tile; the equi-join is on plane and tile, so AQE can split a hot tile. The box, then exact point-in-polygon arithmetic in
     whole units decide: points on an edge or corner or in a hole are outside. A null plane matches nothing.
     """
     size = round(tile * UNITS)
     spread = (
         regions.select("*", F.explode(F.sequence(_cell(F.col("min_x"), size), _cell(F.col("max_x"), size))).alias("cx"))
         .select("*", F.explode(F.sequence(_cell(F.col("min_y"), size), _cell(F.col("max_y"), size))).alias("cy"))
+        .withColumn("edges", F.filter("edges", lambda e: (F.least(e["ay"], e["by"]) < (F.col("cy") + 1) * size) & (F.greatest(e["ay"], e["by"]) >= F.col("cy") * size)))
     )
     own = points.select("id", "px", "py", plane, _cell(F.col("px"), size).alias("cx"), _cell(F.col("py"), size).alias("cy"))
     return (

@@ -71,7 +71,7 @@ r AS (SELECT *, {_INVERSE} FROM (SELECT *, {_DET} AS det FROM (SELECT run_id, {_
 
 @query(
     "tile_shapes",
-    f"""{_SHAPES} SELECT t.run_id, t.fov, CAST(t.n AS BIGINT) AS n, round(t.xx, 4) AS xx, round(t.yy, 4) AS yy, round(t.zz, 4) AS zz, round(CASE WHEN abs(t.det) > 1e-15 THEN t.izz END, 6) AS izz,
+    f"""{_SHAPES} SELECT t.run_id, t.fov, CAST(t.n AS BIGINT) AS n, round(t.xx, 1) AS xx, round(t.yy, 1) AS yy, round(t.zz, 4) AS zz, round(CASE WHEN abs(t.det) > 1e-15 THEN t.izz END, 6) AS izz,
 round(CASE WHEN t.det > 1e-15 AND r.det > 1e-15 THEN (t.xx * r.ixx + 2 * t.xy * r.ixy + 2 * t.xz * r.ixz + t.yy * r.iyy + 2 * t.yz * r.iyz + t.zz * r.izz - 3 + ln(r.det / t.det)) / 2 END, 6) AS kl FROM t JOIN r USING (run_id)""",
 )
 def tile_shapes(spark: SparkSession, d: str) -> DataFrame:
@@ -79,7 +79,7 @@ def tile_shapes(spark: SparkSession, d: str) -> DataFrame:
     good = molecules(spark, d).filter("fov IS NOT NULL")
     tile, run = gr.covariances(good, ["run_id", "fov"], ["x", "y", "z"]).alias("t"), gr.covariances(good, ["run_id"], ["x", "y", "z"]).alias("r")
     both = tile.join(run, F.col("t.run_id") == F.col("r.run_id"))
-    return both.select("t.run_id", "t.fov", "t.n", *[F.round(f"t.{c}", 4).alias(c) for c in ("xx", "yy", "zz")], F.round("t.izz", 6).alias("izz"), F.round(gr.divergence("t", "r"), 6).alias("kl"))
+    return both.select("t.run_id", "t.fov", "t.n", F.round("t.xx", 1).alias("xx"), F.round("t.yy", 1).alias("yy"), F.round("t.zz", 4).alias("zz"), F.round("t.izz", 6).alias("izz"), F.round(gr.divergence("t", "r"), 6).alias("kl"))
 
 
 @query("counts_without_blanks", f"{_COUNTS}, {CODES_SQL} SELECT cell, gene, CAST(n AS BIGINT) AS n FROM counts JOIN codes ON codes.barcode_id = gene WHERE NOT starts_with(name, 'Blank')")

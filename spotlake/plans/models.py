@@ -15,7 +15,7 @@ from spotlake.operators.stats import permuted
 from spotlake.plans import query
 from spotlake.plans.decoding import _CODES as _TRACES_SQL
 from spotlake.plans.decoding import _traces
-from spotlake.plans.probes import FORWARD, REVERSE, _rc
+from spotlake.plans.probes import FORWARD, REVERSE, _rc, _tm
 from spotlake.plans.spatial import _LINK, PLANE_STEP, _links, _near, _points
 from spotlake.session import table
 from spotlake.sources.views import CODES_SQL, MOLS_SQL, PROBES_SQL, TRANSCRIPTS_SQL, codebook, molecules, probes, transcripts
@@ -206,7 +206,20 @@ def seq_halves(spark: SparkSession, d: str) -> DataFrame:
     return probes(spark, d).select("probe_id", sq.revcomp(left).alias("left_rc"), sq.revcomp(right).alias("right_rc"))
 
 
-@query("design_pipeline")
+_SITES = " OR ".join(f"contains(target, '{s}') OR contains(target, {_rc(repr(s))})" for s in ("GAATTC", "GGATCC"))
+
+
+@query(
+    "design_pipeline",
+    f"""WITH RECURSIVE {TRANSCRIPTS_SQL}, w AS (SELECT DISTINCT gene_id, transcript_id, shift, substring(seq, shift + 1, 30) AS target FROM (SELECT gene_id, transcript_id, seq, CAST(unnest(range(0, length(seq) - 29, 10)) AS INTEGER) AS shift FROM tx WHERE length(seq) >= 30)),
+t AS (SELECT *, (30 - length(regexp_replace(target, '[GC]', '', 'g'))) / 30 AS gc, {_tm('target')} AS tm FROM w WHERE regexp_full_match(target, '[ACGT]+')),
+g AS (SELECT *, transcript_id || ':' || shift AS key FROM t WHERE gc BETWEEN 0.4 AND 0.6 AND tm BETWEEN 55 AND 75 AND NOT ({_SITES})),
+km AS (SELECT kmer, count(*) AS n FROM (SELECT substring(seq, i + 1, 15) AS kmer FROM (SELECT seq, unnest(range(0, length(seq) - 14)) AS i FROM tx WHERE length(seq) >= 15)) WHERE regexp_full_match(kmer, '[ACGT]+') GROUP BY 1),
+h AS (SELECT key FROM (SELECT key, substring(target, i + 1, 15) AS kmer FROM (SELECT DISTINCT key, target, unnest(range(0, 16)) AS i FROM g)) LEFT JOIN km USING (kmer) GROUP BY 1 HAVING sum(coalesce(n, 0)) <= 3 * count(*)),
+l AS (SELECT gene_id, transcript_id, list(struct_pack(s := shift, k := key, e := shift + 30) ORDER BY shift, key) AS l FROM g WHERE key IN (SELECT key FROM h) GROUP BY 1, 2),
+r AS (SELECT gene_id, transcript_id, l, l[1] AS now FROM l UNION ALL SELECT gene_id, transcript_id, l, list_filter(l, lambda x: x.s >= r.now.e)[1] AS now FROM r WHERE len(list_filter(l, lambda x: x.s >= r.now.e)) > 0)
+SELECT g.gene_id, g.transcript_id, g.shift, round(tm, 4) AS tm, '{FORWARD}' || left(target, 5) || 'A' || {_rc('target')} || 'A' || right(target, 5) || '{REVERSE}' AS oligo FROM r JOIN g ON g.gene_id = r.gene_id AND g.key = r.now.k""",
+)
 def design_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Probes for all transcripts: windows, GC and melting temperature, k-mers seen elsewhere, sites, no overlap, assembly."""
     tx = transcripts(spark, d)

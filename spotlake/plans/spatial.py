@@ -119,6 +119,7 @@ def _nearest_each(spark: SparkSession, d: str) -> DataFrame:
     return sp.nearest_of_all(pts, pts, 5.0).select("id", "other_id", F.round(F.sqrt(F.col("d2").cast("double")) / 10000, 4).alias("distance"))
 
 
+@query("nearest_odd", _EACH + " SELECT id, other_id, distance FROM n")
 @query("nearest_each", _EACH + " SELECT id, other_id, distance FROM n")
 def nearest_each(spark: SparkSession, d: str) -> DataFrame:
     """The nearest other molecule of every molecule, however far."""

@@ -185,10 +185,10 @@ def stored_probe_report(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="probe_id bigint, gene_id string, seq string, letters int")
 
 
-@query("stored_frame_infos", f"WITH {MOLS_SQL} SELECT run_id || '_' || fov || '.inf' AS path, 2048 AS width, 2048 AS height, CAST(count(DISTINCT z) AS INTEGER) AS frames, 'big' AS endian, floor(min(global_x)) AS stage_x, -floor(min(global_y)) AS stage_y FROM mols WHERE fov IS NOT NULL AND NOT isnan(global_x) GROUP BY run_id, fov")
+@query("stored_frame_infos", f"WITH {MOLS_SQL} SELECT run_id || '_' || fov || '.inf' AS path, 2048 AS width, 2048 AS height, CAST(count(DISTINCT z) AS INTEGER) AS frames, 'big' AS endian, floor(min(global_x)) AS stage_x, -floor(min(global_y)) AS stage_y FROM mols WHERE fov IS NOT NULL AND global_x IS NOT NULL AND NOT isnan(global_x) GROUP BY run_id, fov")
 def stored_frame_infos(spark: SparkSession, d: str) -> DataFrame:
     """Descriptions of frame files for every tile, as lines of text, parsed again."""
-    good = molecules(spark, d).filter("fov IS NOT NULL AND NOT isnan(global_x)").groupBy("run_id", "fov").agg(F.count_distinct("z").alias("n"), F.floor(F.min("global_x")).alias("x"), (-F.floor(F.min("global_y"))).alias("y"))
+    good = molecules(spark, d).filter("fov IS NOT NULL AND global_x IS NOT NULL AND NOT isnan(global_x)").groupBy("run_id", "fov").agg(F.count_distinct("z").alias("n"), F.floor(F.min("global_x")).alias("x"), (-F.floor(F.min("global_y"))).alias("y"))
     lines = ["information file for", "data type = 16 bit integers (binary, big endian)", "frame dimensions = 2048 x 2048"]
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     made = F.array(*[F.lit(t) for t in lines], F.concat(F.lit("number of frames = "), F.col("n").cast("string")), F.concat(F.lit("Stage X = "), number("x")), F.concat(F.lit("Stage Y = "), number("y")))
