@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlake.functions.sequences import gc_share, kmers, melting_temperature, revcomp
+from spotlake.functions.sequences import COMPLEMENTS, LETTERS, gc_share, kmers, melting_temperature, revcomp
+from spotlake.operators import letters as le
+from spotlake.operators.folds import keep_in_order
 from spotlake.operators.probes import windows
 from spotlake.session import cut
 
@@ -18,6 +22,8 @@ PASSES = 6
 CLEAVED_T = "AGTATCTTTTGCGTACAATCCGACGCGTCGGATTGTAAGCTAGGGGAATAAATCTTTGGGTG"
 CLEAVED_OTHER = "AGCATCTTAGTAGTACAATCCGACGCGTCGGATTGTACGATTGGGGAATAGATCTTTGGGAC"
 CLEAVED_START = "TATACCGGGCAACTATTGCCTCGTCATCGCTATTTTCTGCGATAGTGAGTCGTATTATTTTAATACGACTCACTATACTGC"
+#: Letters of the sequences that a task rates together, and of those whose k-mers of one part of all k-mers it counts together.
+CHUNK, COUNTED = 1 << 19, 1 << 21
 
 
 def choose_by_coverage(df: DataFrame, key: str, id_column: str, start: str, sequence: str, n: int, seed: int) -> DataFrame:
@@ -99,3 +105,108 @@ def pair_windows(df: DataFrame, gene: str, sequence: str, *keep: str, arm: int =
     known = windows(df, sequence, k, 1, gene, spread=True).select(F.col(gene).alias("_gene"), F.col("target").alias("kmer")).distinct()
     hit = met.join(known, "kmer").filter(F.col(gene) != F.col("_gene")).groupBy(gene, *keep, "shift", "_gene").agg(F.count_distinct("side").alias("sides")).filter("sides = 2").select(gene, *keep, "shift").distinct()
     return good.join(hit, [gene, *keep, "shift"], "left_anti")
+
+
+def rare_windows(df: DataFrame, length: int, step: int, k: int, gc: tuple[float, float], tm: tuple[float, float], sites: list[str], most: int) -> DataFrame:
+    """gene_id, transcript_id, shift, target and tm of the probes chosen for every transcript (columns gene_id, transcript_id, seq in capitals).
+
+    Windows of plain letters with GC share and tm in range and none of the sites on either strand, whose k-mers are seen *most* times on average in all
+    sequences; of these, as many as interval scheduling by shift keeps for a gene's transcript. Targets that differ at one shift of a transcript are rated
+    together and chosen together. k-mers travel packed, each once for a chunk of sequences, to the part that counts them; only the counts of those seen
+    more than once come back, and nothing is joined, so nothing is broadcast.
+    """
+    if not k <= 16 or not k <= length:
+        raise ValueError("k-mers have up to 16 letters and fit the windows")
+    both = {s.upper() for s in sites} | {s.upper()[::-1].translate(str.maketrans(LETTERS, COMPLEMENTS)) for s in sites}
+    rows = df.select("gene_id", "transcript_id", "seq").filter(F.length("seq") >= k)
+    chunks, n = le.in_chunks(rows, "seq", CHUNK, [F.col("transcript_id"), F.col("seq")])
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * CHUNK // COUNTED)
+
+    def rated(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes, and row, shift, place and tm of the good windows."""
+        codes, starts = le.coded(pdf.seq)
+        row, shift = le.window_places(pdf.seq, starts, length, step)
+        at = starts[row] + shift
+        share = le.within(le.running((codes == 1) | (codes == 2)), at, length) / length
+        good = (le.within(le.running(codes == le.OTHER), at, length) == 0) & (share >= gc[0]) & (share <= gc[1]) & pdf.transcript_id.notna().to_numpy()[row]
+        for site in both:
+            good &= ~le.holding(codes, at, length, site)
+        row, shift, at = row[good], shift[good], at[good]
+        melts = le.melting(codes, at, length)
+        good = (melts >= tm[0]) & (melts <= tm[1])
+        return codes, row[good], shift[good], at[good], melts[good]
+
+    def sent(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, _, _, at, _ = rated(pdf)
+        packed, plain = le.packed_kmers(codes, k)
+        asked = np.zeros(len(packed) + 1, np.int32)
+        asked[at] += 1
+        asked[at + length - k + 1] -= 1
+        asked = np.cumsum(asked)[:-1] > 0
+        # the lowest bit says whether a good window holds the k-mer here
+        marked = np.sort((packed[plain].astype(np.uint64) << np.uint64(1)) | asked[plain])
+        kmer = (marked >> np.uint64(1)).astype(np.uint32)
+        first = np.flatnonzero(np.r_[True, kmer[1:] != kmer[:-1]]) if len(kmer) else np.zeros(0, int)
+        ends = np.r_[first[1:], len(kmer)].astype(int)[: len(first)]
+        kmer, times, wanted = kmer[first], (ends - first).astype(np.uint32), (marked[ends - 1] & np.uint64(1)).astype(bool)
+        part = ((kmer * np.uint32(0x9E3779B1)).astype(np.uint64) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        kmer, times, wanted, part = kmer[order], times[order], wanted[order], part[order]
+        edges = np.searchsorted(part, np.arange(parts + 1))
+        made = []
+        for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            if a < b:
+                again = np.flatnonzero(times[a:b] > 1).astype(np.uint32)
+                made.append((p, int(pdf["_chunk"].iloc[0]), kmer[a:b].tobytes(), np.packbits(wanted[a:b]).tobytes(), again.tobytes(), times[a:b][again].tobytes()))
+        return pd.DataFrame(made, columns=["part", "chunk", "kmers", "wanted", "again", "times"])
+
+    def counted(pdf: pd.DataFrame) -> pd.DataFrame:
+        each = [np.frombuffer(b, np.uint32) for b in pdf.kmers]
+        # most k-mers are seen once: only those met again are kept, with their number
+        met = np.sort(np.concatenate(each))
+        first = np.flatnonzero(np.r_[True, met[1:] != met[:-1]])
+        known, sums = met[first], np.diff(np.r_[first, len(met)])
+        for x, again, more in zip(each, pdf["again"], pdf["times"]):
+            sums[np.searchsorted(known, x[np.frombuffer(again, np.uint32)])] += np.frombuffer(more, np.uint32).astype(np.int64) - 1
+        known, sums = known[sums > 1], sums[sums > 1]
+        made = []
+        for x, wanted, chunk in zip(each, pdf.wanted, pdf.chunk):
+            x = x[np.unpackbits(np.frombuffer(wanted, np.uint8), count=len(x)).astype(bool)]
+            place = np.searchsorted(known, x)
+            back = np.flatnonzero(place < len(known))
+            back = back[known[place[back]] == x[back]]
+            made.append((chunk, x[back].tobytes(), sums[place[back]].astype(np.int64).tobytes()))
+        return pd.DataFrame(made, columns=["_chunk", "kmers", "hits"])
+
+    def finished(pdf: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+        codes, row, shift, at, melts = rated(pdf)
+        packed, _ = le.packed_kmers(codes, k)
+        known, times = np.frombuffer(b"".join(back.kmers), np.uint32), np.frombuffer(b"".join(back.hits), np.int64)
+        order = np.argsort(known)
+        known, times = np.r_[known[order], np.uint32(0)], np.r_[times[order], 1]
+        hits = np.zeros(len(at), np.int64)
+        for j in range(length - k + 1):
+            x = packed[at + j]
+            i = np.searchsorted(known[:-1], x)
+            hits += np.where((known[i] == x) & (i < len(known) - 1), times[i], 1)
+        genes, ids, texts = pdf.gene_id.to_numpy(), pdf.transcript_id.to_numpy(), pdf.seq.to_numpy()
+        return pd.DataFrame({"gene_id": genes[row], "transcript_id": ids[row], "shift": shift.astype(np.int32), "target": [texts[r][s : s + length] for r, s in zip(row, shift)], "tm": melts, "hits": hits})
+
+    known = chunks.groupBy("_chunk").applyInPandas(sent, "part int, chunk int, kmers binary, wanted binary, again binary, times binary")
+    back = known.groupBy("part").applyInPandas(counted, "_chunk int, kmers binary, hits binary")
+    found = chunks.groupBy("_chunk").cogroup(back.groupBy("_chunk")).applyInPandas(finished, "gene_id string, transcript_id string, shift int, target string, tm double, hits bigint")
+    # a target that several genes have at a shift of a transcript counts once there
+    once = found.repartition("transcript_id").dropDuplicates(["gene_id", "transcript_id", "shift", "target"])
+    first = F.row_number().over(Window.partitionBy("transcript_id", "shift", "target").orderBy("gene_id")) == 1
+    here = Window.partitionBy("transcript_id", "shift")
+    summed = once.withColumn("_first", first).withColumn("_hits", F.sum(F.when(F.col("_first"), F.col("hits"))).over(here)).withColumn("_n", F.count(F.when(F.col("_first"), F.lit(1))).over(here))
+    rare = summed.filter((F.col("_hits") <= F.lit(most * (length - k + 1)) * F.col("_n")) & F.col("gene_id").isNotNull()).select("gene_id", "transcript_id", "shift", "target", "tm")
+
+    def apart(last: int | None, each: pd.DataFrame) -> tuple[int | None, np.ndarray]:
+        mask = np.zeros(len(each), bool)
+        for i, s in enumerate(each["shift"].to_numpy()):
+            if last is None or s == last or s >= last + length:
+                mask[i], last = True, s
+        return last, mask
+
+    return keep_in_order(rare, ["gene_id", "transcript_id"], ["shift"], apart)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotlake.functions import sequences as sq
+from spotlake.operators import designs as de
 from spotlake.operators import models as mo
 from spotlake.operators import probes as pb
 from spotlake.operators.quality import with_code
@@ -222,12 +223,6 @@ SELECT g.gene_id, g.transcript_id, g.shift, round(tm, 4) AS tm, '{FORWARD}' || l
 )
 def design_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Probes for all transcripts: windows, GC and melting temperature, k-mers seen elsewhere, sites, no overlap, assembly."""
-    tx = transcripts(spark, d)
-    tiles = pb.windows(tx, "seq", 30, 10, "gene_id", "transcript_id", spread=True).filter(F.col("target").rlike("^[ACGT]+$"))
-    rated = pb.filter_probes(tiles, "target", (0.4, 0.6), (55.0, 75.0)).filter(~sq.has_site(F.col("target"), ["GAATTC", "GGATCC"]))
-    named = rated.withColumn("key", F.concat_ws(":", "transcript_id", "shift"))
-    hits = pb.kmer_hits(named, "key", "target", pb.kmer_sums(tx, "seq", 15), 15)
-    rare = named.join(hits.filter("hits <= 3 * n_kmers").select("key"), "key", "left_semi")
-    kept = pb.select_no_overlap(rare, ["gene_id", "transcript_id"], "shift", "target", "key")
+    kept = de.rare_windows(transcripts(spark, d), 30, 10, 15, (0.4, 0.6), (55.0, 75.0), ["GAATTC", "GGATCC"], 3)
     bits = [F.substring("target", 1, 5), F.substring("target", -5, 5)]
     return kept.select("gene_id", "transcript_id", "shift", F.round("tm", 4).alias("tm"), pb.assemble(F.col("target"), bits, F.lit(FORWARD), F.lit(REVERSE)).alias("oligo"))
