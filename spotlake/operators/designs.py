@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlake.functions.sequences import COMPLEMENTS, LETTERS, gc_share, kmers, melting_temperature, revcomp
+from spotlake.functions.sequences import COMPLEMENTS, LETTERS, melting_temperature, revcomp
 from spotlake.operators import letters as le
 from spotlake.operators.folds import keep_in_order
 from spotlake.operators.probes import windows
@@ -24,6 +24,8 @@ CLEAVED_OTHER = "AGCATCTTAGTAGTACAATCCGACGCGTCGGATTGTACGATTGGGGAATAGATCTTTGGGAC"
 CLEAVED_START = "TATACCGGGCAACTATTGCCTCGTCATCGCTATTTTCTGCGATAGTGAGTCGTATTATTTTAATACGACTCACTATACTGC"
 #: Letters of the sequences that a task rates together, and of those whose k-mers of one part of all k-mers it counts together.
 CHUNK, COUNTED = 1 << 19, 1 << 21
+#: Letters of the sequences whose pairs a task looks up, of the genes it looks them up in, of a slice of these; the least number of such blocks.
+PAIRS_CHUNK, GENES_CHUNK, SLICE, LEAST_BLOCKS = 1 << 24, 1 << 25, 1 << 20, 12
 
 
 def choose_by_coverage(df: DataFrame, key: str, id_column: str, start: str, sequence: str, n: int, seed: int) -> DataFrame:
@@ -93,18 +95,108 @@ def ligation_arms(df: DataFrame, sequence: str, *keep: str, arm: int = 30, most:
 
 
 def pair_windows(df: DataFrame, gene: str, sequence: str, *keep: str, arm: int = 30, k: int = 12, gc: tuple[float, float] = (0.3, 0.7)) -> DataFrame:
-    """The kept columns, gene, shift and target of pairs of neighbouring windows, both with a GC share in range, that no other gene has k-mers of both of.
+    """Gene, the kept columns, shift and target of pairs of neighbouring windows, both with a GC share in range, that no other gene has k-mers of both of.
 
-    A pair is dropped if some other gene holds a k-mer of its left and one of its right window. Genes of a k-mer are joined, not listed, so a k-mer of
-    many genes is many rows. A gene's own k-mers don't count.
+    A pair is dropped if some other gene holds a k-mer of its left and one of its right window; a gene's own k-mers don't count, rows without a gene neither.
+    Every chunk of pairs meets every chunk of genes in one task, which finds the pairs of a slice of genes after another, so the genes of a k-mer, whose number
+    grows with the table, are neither shuffled nor listed; only the sequences are sent, once for each chunk of the other side.
     """
-    both = windows(df, sequence, 2 * arm, 2 * arm, gene, *keep, spread=True).filter(F.col("target").rlike("^[ACGT]+$"))
-    half = [F.substring("target", 1, arm), F.substring("target", arm + 1, arm)]
-    good = both.filter(gc_share(half[0]).between(*gc) & gc_share(half[1]).between(*gc)).distinct()
-    met = good.select(gene, *keep, "shift", F.explode(F.array(*[F.struct(F.lit(i).alias("side"), kmers(h, k).alias("ks")) for i, h in enumerate(half)])).alias("w")).select(gene, *keep, "shift", "w.side", F.explode("w.ks").alias("kmer"))
-    known = windows(df, sequence, k, 1, gene, spread=True).select(F.col(gene).alias("_gene"), F.col("target").alias("kmer")).distinct()
-    hit = met.join(known, "kmer").filter(F.col(gene) != F.col("_gene")).groupBy(gene, *keep, "shift", "_gene").agg(F.count_distinct("side").alias("sides")).filter("sides = 2").select(gene, *keep, "shift").distinct()
-    return good.join(hit, [gene, *keep, "shift"], "left_anti")
+    if k > 13:
+        raise ValueError("k-mers have up to 13 letters")
+    keys = [gene, *keep]
+    rows = df.select(*keys, F.col(sequence).alias("_seq")).filter(F.col(gene).isNotNull() & (F.length(sequence) >= k))
+    cut_up, n = le.in_chunks(rows, "_seq", PAIRS_CHUNK, [F.col(gene)])
+    known, m = le.in_chunks(rows.select(F.col(gene).alias("_gene"), F.col("_seq").alias("_text")), "_text", GENES_CHUNK, [F.col("_gene"), F.lit("known")], -(-LEAST_BLOCKS // n))
+
+    def pairs(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The rows in a fixed order, their codes, and row, shift, place and number of the good pairs; pairs of equal keys and shift have one number."""
+        pdf = pdf[[*keys, "_seq"]].drop_duplicates().sort_values([*keys, "_seq"], ignore_index=True)
+        codes, starts = le.coded(pdf["_seq"])
+        row, shift = le.window_places(pdf["_seq"], starts, 2 * arm, 2 * arm)
+        at = starts[row] + shift
+        good = le.within(le.running(codes == le.OTHER), at, 2 * arm) == 0
+        strong = le.running((codes == 1) | (codes == 2))
+        for a in (at, at + arm):
+            share = le.within(strong, a, arm) / arm
+            good &= (share >= gc[0]) & (share <= gc[1])
+        row, shift, at = row[good], shift[good], at[good]
+        same = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()[row]
+        number = np.unique(same.astype(np.int64) << 32 | shift, return_inverse=True)[1]
+        return pdf, codes, row, shift, at, number
+
+    def met(key: tuple, pdf: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"_chunk": [], "hit": []})
+        if not len(pdf) or not len(others):
+            return none
+        pdf, codes, row, _, at, number = pairs(pdf)
+        if not len(at):
+            return none
+        per = arm - k + 1
+        packed, _ = le.packed_kmers(codes, k)
+        # the k-mer above, the pair's number and its side below
+        held = np.empty((2 * per, len(at)), np.uint64)
+        for j in range(2 * per):
+            side, i = divmod(j, per)
+            held[j] = packed[at + side * arm + i].astype(np.uint64) << np.uint64(32) | (number << 1 | side).astype(np.uint64)
+        held = held.reshape(-1)
+        held.sort()
+        held = held[np.r_[True, held[1:] != held[:-1]]]
+        kmer, payload = (held >> np.uint64(32)).astype(np.uint32), held.astype(np.uint32)
+        del held, packed, codes
+        ends = np.empty(4**k + 1, np.int32)
+        for a in range(0, len(ends), 1 << 20):
+            ends[a : a + (1 << 20)] = np.searchsorted(kmer, np.arange(a, min(a + (1 << 20), len(ends)), dtype=np.uint32))
+        del kmer
+        others = others.sort_values("_gene", ignore_index=True)
+        names = pd.Index(others["_gene"].unique())
+        other = names.get_indexer(others["_gene"])
+        own = np.zeros(number.max() + 1, np.int64)
+        own[number] = names.get_indexer(pdf[gene])[row]
+        hit = np.zeros(len(own), bool)
+        # slices of whole genes, then pieces of whole genes with a bounded number of meetings
+        letters = others["_text"].str.len().to_numpy().cumsum()
+        begins = np.flatnonzero(np.r_[True, other[1:] != other[:-1]])
+        begins = begins[np.r_[True, np.diff(np.r_[0, letters][begins] // SLICE) > 0]]
+        for a, b in zip(begins, [*begins[1:], len(others)]):
+            codes, starts = le.coded(others["_text"].iloc[a:b])
+            packed, plain = le.packed_kmers(codes, k)
+            of = np.repeat(other[a:b], np.diff(np.r_[starts, len(codes)]))[: len(packed)]
+            each = np.unique(of[plain] << 32 | packed[plain].astype(np.int64))
+            of, x = each >> 32, each & 0xFFFFFFFF
+            low = ends[x].astype(np.int64)
+            times = ends[x + 1] - low
+            of, low, times = of[times > 0], low[times > 0], times[times > 0]
+            if not len(of):
+                continue
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            before = np.r_[0, times.cumsum()]
+            first = first[np.r_[True, np.diff(before[first] // SLICE) > 0]]
+            for c, e in zip(first, [*first[1:], len(of)]):
+                t = times[c:e]
+                found = payload[np.repeat(low[c:e] - (before[c:e] - before[c]), t) + np.arange(before[e] - before[c])].astype(np.int64)
+                g = np.repeat(of[c:e], t)
+                left = (own[found >> 1] != g) & ~hit[found >> 1]
+                both = np.sort(g[left] << 32 | found[left])
+                both = both[np.flatnonzero((both[1:] == both[:-1] + 1) & (both[:-1] & 1 == 0))]
+                hit[(both & 0xFFFFFFFF) >> 1] = True
+        return pd.DataFrame({"_chunk": [key[0]], "hit": [np.packbits(hit).tobytes()]})
+
+    def kept(pdf: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+        pdf, _, row, shift, _, number = pairs(pdf)
+        texts = pdf["_seq"].to_numpy()
+        if len(number):
+            for b in hits["hit"]:
+                free = ~np.unpackbits(np.frombuffer(b, np.uint8), count=number.max() + 1).astype(bool)[number]
+                row, shift, number = row[free], shift[free], number[free]
+        made = {c: pdf[c].to_numpy()[row] for c in keys}
+        return pd.DataFrame(made | {"shift": shift.astype(np.int32), "target": [texts[r][s : s + 2 * arm] for r, s in zip(row, shift)]}).drop_duplicates()
+
+    every = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
+    left = cut_up.select("*", every(m).alias("_other")).groupBy("_chunk", "_other")
+    right = known.select(F.col("_chunk").alias("_other"), "_gene", "_text", every(n).alias("_chunk")).groupBy("_chunk", "_other")
+    hits = left.cogroup(right).applyInPandas(met, "_chunk int, hit binary")
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys) + ", shift int, target string"
+    return cut_up.groupBy("_chunk").cogroup(hits.groupBy("_chunk")).applyInPandas(kept, schema)
 
 
 def rare_windows(df: DataFrame, length: int, step: int, k: int, gc: tuple[float, float], tm: tuple[float, float], sites: list[str], most: int) -> DataFrame:

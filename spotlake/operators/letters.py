@@ -48,7 +48,8 @@ def packed_kmers(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     packed = np.zeros(n, np.uint32)
     for j in range(k):
         packed = (packed << np.uint32(2)) | (codes[j : j + n] & 3)
-    return packed, within(running(codes == OTHER), np.arange(n), k) == 0
+    others = running(codes == OTHER)
+    return packed, others[k:] == others[: max(0, len(others) - k)]
 
 
 def window_places(sequences: pd.Series, starts: np.ndarray, length: int, step: int) -> tuple[np.ndarray, np.ndarray]:

@@ -149,7 +149,7 @@ SELECT gene_id, transcript_id, shift, target FROM g WHERE (gene_id, transcript_i
 @query("probe_pair_windows", _PAIRS)
 def probe_pair_windows(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of neighbouring windows that no other gene could bind together."""
-    return de.pair_windows(transcripts(spark, d).filter("gene_id IS NOT NULL AND transcript_id IS NOT NULL"), "gene_id", "seq", "transcript_id")
+    return de.pair_windows(transcripts(spark, d), "gene_id", "seq", "transcript_id").filter("transcript_id IS NOT NULL")
 
 
 @query(

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 from oracle import connect, differences
 
+from spotlake.operators import designs as de
+
 
 @pytest.fixture(scope="module")
 def odd(tmp_path_factory):
@@ -41,3 +43,18 @@ def test_design_pipeline_of_odd_transcripts(spark, odd):
 
 def test_design_pipeline_broadcasts_nothing(spark, sf):
     assert broadcasts(entry.queries()["design_pipeline"](spark, sf)) == 0
+
+
+def test_pair_windows_of_odd_transcripts(spark, odd):
+    assert same(spark, odd, "probe_pair_windows") is None
+
+
+def test_pair_windows_in_many_chunks(spark, sf, monkeypatch):
+    want = sorted(map(tuple, entry.queries()["probe_pair_windows"](spark, sf).collect()))
+    for name, size in (("PAIRS_CHUNK", 20_000), ("GENES_CHUNK", 30_000), ("SLICE", 700)):
+        monkeypatch.setattr(de, name, size)
+    assert sorted(map(tuple, entry.queries()["probe_pair_windows"](spark, sf).collect())) == want != []
+
+
+def test_pair_windows_broadcast_nothing(spark, sf):
+    assert broadcasts(entry.queries()["probe_pair_windows"](spark, sf)) == 0
