@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files and checkpoints of what is no longer referenced; else they stay until the driver happens to collect its garbage."""
+    for _ in range(2):  # what ran last is held by Spark's listeners for a moment
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
+
+
 def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """*df* with a broadcast hint if it is measured to have at most *rows* rows, else as it is. Measuring computes it: cut() what is dear first."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
